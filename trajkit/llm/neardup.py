@@ -8,10 +8,11 @@
    bit counts estimate the similarity, corrected for chance collisions; pairs far below the
    threshold go no further, the others are confirmed on their full sets.  Confirmed links give a
    first set of components.
-3. Buckets that still hold two or more components pair the classes outside the main component with
-   the classes of other components, again by estimate and then on full sets.  So every pair that
-   shares a bucket is in one component or was tested itself, and a group of copies costs links in
-   proportion to its size.
+3. In buckets that still hold two or more components, a class is tested on full sets against all
+   members of each other component, in blocks of bounded size that return one link at most; classes
+   without any link are paired with each other by estimate and then on full sets.  So every pair
+   that shares a bucket is in one component or was tested itself, and a group of copies costs links
+   in proportion to its size.
 4. Components are contracted by smallest neighbour until no link joins two.
 
 With 32 bands of 4 rows a pair of similarity 0.8 shares no bucket with probability 5e-8, and the
@@ -42,6 +43,7 @@ BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 LONGS = MINIMA * BITS // 64
 SMALL = 1_000_000
+BLOCK = 512
 _FACTORS = np.random.default_rng(97).integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BREAK = np.zeros(256, bool)
 _BREAK[[9, 10, 11, 12, 13, 32]] = True
@@ -147,16 +149,20 @@ def _only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     return docs.join(F.broadcast(ids) if n <= SMALL else ids, "doc_id", how)
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold, as a written table."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``doc_id, set array<long>`` of the documents of ``ids``, as a written table."""
 
     def run(batches):
         for block in blocks(batches, "text", 2 << 20):
             h, at = shingles(block.column("text"), width)
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))], ["doc_id", "set"])
 
-    sets = written(_only(docs, ids).mapInArrow(run, "doc_id long, set array<long>").dropDuplicates(["doc_id", "set"]), "neardup-sets")
+    return written(_only(docs, ids).mapInArrow(run, "doc_id long, set array<long>").dropDuplicates(["doc_id", "set"]), "neardup-sets")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold, as a written table."""
+    sets = full_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), width)
     left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
     both = left.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -164,6 +170,44 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     return written(both.filter(linked).select("a", "b").distinct(), "neardup-links")
 
 
+def links_to_groups(docs: DataFrame, against: DataFrame, comps: DataFrame, width: int, percent: int) -> DataFrame:
+    """For rows (rep, group) one link (a, b) of rep with a member of the group, where it has any; a written table.
+
+    Members and rows are dealt into blocks of about ``BLOCK``, and every block of rows meets every block
+    of members of its group, so no task holds a whole group.
+    """
+    members = comps.join(against.select(F.col("group").alias("comp")).distinct(), "comp").select(F.col("comp").alias("group"), F.col("node").alias("rep"))
+    blocks_of = lambda df, name: df.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    deal = written(blocks_of(against, "nx").join(blocks_of(members, "ny"), "group"), "neardup-deal")
+    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = against.join(deal, "group").select("group", part("nx").alias("xb"), each("ny").alias("yb"), F.lit(True).alias("asks"), "rep")
+    rows = rows.unionByName(members.join(deal, "group").select("group", each("nx").alias("xb"), part("ny").alias("yb"), F.lit(False).alias("asks"), "rep"))
+    ids = against.select("rep").union(members.select("rep")).distinct().withColumnRenamed("rep", "doc_id")
+    sets = full_sets(docs, ids, width)
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        rep, own = table.column("rep").to_numpy(), table.column("set").combine_chunks()
+        off, values = own.offsets.to_numpy().astype(np.int64), own.values.to_numpy()
+        found = []
+        y = np.flatnonzero(~asks)
+        size = np.diff(off)
+        row = np.repeat(np.arange(len(y)), size[y])
+        held = np.concatenate([values[off[i] : off[i + 1]] for i in y]) if len(y) else np.zeros(0, np.int64)
+        for i in np.flatnonzero(asks):
+            mine = np.sort(values[off[i] : off[i + 1]])
+            at = np.minimum(np.searchsorted(mine, held), len(mine) - 1)
+            common = np.bincount(row[mine[at] == held], minlength=len(y))
+            hit = np.flatnonzero((100 * common >= percent * (len(mine) + size[y] - common)) & (rep[y] != rep[i]))
+            if len(hit):
+                found.append((int(rep[i]), int(rep[y[hit[0]]])))
+        return pa.table({"a": pa.array([min(f) for f in found], pa.int64()), "b": pa.array([max(f) for f in found], pa.int64())})
+
+    full = rows.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return written(full.groupBy("group", "xb", "yb").applyInArrow(run, "a long, b long"), "neardup-more")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, comp``: the smallest node that each node of the links (a, b) reaches; a written table."""
     links = written(links.filter("a <> b"), "neardup-edges")
@@ -201,34 +245,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     comps = components(links)
 
     # buckets that the first links left in several components
-    placed = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    placed = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = placed.select("band", "rep", F.coalesce("comp", "rep").alias("comp"), F.col("comp").isNull().alias("single"), "first")
     placed = written(placed, "neardup-placed")
-    main = placed.filter("rep = first").select("band", F.col("comp").alias("main"))
-    split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band").join(main, "band")
-    open_rows = placed.join(split.dropDuplicates(["band"]), "band").join(reps, "rep")
-    open_rows = written(open_rows.select("band", "rep", "comp", "main", "sig", "bands"), "neardup-open")
-    x = open_rows.filter("comp <> main").select("band", F.col("rep").alias("a"), F.col("comp").alias("comp_a"), F.col("sig").alias("sig_a"), F.col("bands").alias("bands_a"))
-    y = open_rows.select("band", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), "main", F.col("sig").alias("sig_b"), F.col("bands").alias("bands_b"))
+    main = placed.filter("rep = first").select("band", F.col("comp").alias("main")).dropDuplicates(["band"])
+    split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
+    open_rows = written(placed.join(split.join(main, "band"), "band").select("band", "rep", "comp", "single", "main"), "neardup-open")
+    # single classes and smaller components with each other component of their buckets
+    groups = open_rows.filter("NOT single").select("band", F.col("comp").alias("group")).distinct()
+    turned = F.col("single") | ((F.col("comp") != F.col("main")) & ((F.col("group") == F.col("main")) | (F.col("comp") < F.col("group"))))
+    against = open_rows.join(groups, "band").filter((F.col("comp") != F.col("group")) & turned).select("rep", "group").distinct()
+    more = links_to_groups(docs, written(against, "neardup-against"), comps, width, percent)
+    # single classes with each other, each pair in the first bucket that it shares
+    ones = open_rows.filter("single").select("band", "rep").join(reps, "rep")
+    x, y = (ones.select("band", F.col("rep").alias(n), F.col("sig").alias(f"sig_{n}"), F.col("bands").alias(f"bands_{n}")) for n in "ab")
     once = F.element_at(F.filter(F.zip_with("bands_a", "bands_b", lambda p, q: F.when(p == q, p)), lambda v: v.isNotNull()), 1) == x["band"]
-    either = (F.col("comp_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") != F.col("comp_b")) & either & (estimate(F.col("sig_a"), F.col("sig_b")) >= least) & once)
-    rest = written(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(links, ["a", "b"], "left_anti"), "neardup-rest")
-    rest = _untested(rest, near)
+    rest = x.join(y, (x["band"] == y["band"]) & (F.col("a") < F.col("b")) & (estimate(F.col("sig_a"), F.col("sig_b")) >= least) & once).select("a", "b")
+    rest = written(rest.join(near, ["a", "b"], "left_anti"), "neardup-rest")
     if not rest.isEmpty():
-        more = confirmed(docs, rest, width, percent)
-        if not more.isEmpty():
-            comps = components(links.unionByName(more))
+        more = more.unionByName(confirmed(docs, rest, width, percent))
+    if not more.isEmpty():
+        comps = components(links.unionByName(more))
 
     out = feats.select("doc_id", *key).join(classes, key, "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id")).select("*", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs that no earlier confirmation has seen."""
-    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with the smallest doc_id of each group only; of rows that repeat a doc_id all stay."""
     found = near_duplicates(docs, width, percent)
