@@ -4,7 +4,7 @@ A sentence's score is a logistic function of the weights of its words' features:
 and its prefixes of 3 to 6 letters.  A document's score is the noisy-or of its sentences' scores,
 1 - prod(1 - p).  Weights are trained on document labels alone by gradient steps through the
 noisy-or.  Of all features only those seen in at least ``MIN_TEXTS`` toxic texts of the sample (and
-a share ``MIN_SHARE`` of them) and clearly more often there than in clean ones get a weight, so the model has at most ``FEATURES``.
+a share ``MIN_SHARE`` of them) and clearly more often there than in clean ones (by ``LIFT`` and ``PROOF``) get a weight, so the model has at most ``FEATURES``.
 
 Sentences end at . ! ? and line ends; a sentence without letters scores the bias alone.  Empty and
 null texts have no sentence and score 0.  Only the text is an input.  Without labels of both kinds
@@ -17,6 +17,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ from trajkit.llm.blocks import blocks
 from trajkit.llm.labelled import Words, held_out, sample
 
 #: Most labelled rows that the model is fitted on, by class.
-SAMPLE = {0: 6000, 1: 4000}
-FEATURES, MIN_TEXTS, MIN_SHARE, LIFT = 5000, 3, 0.01, 15.0
+SAMPLE = {0: 3000, 1: 2000}
+FEATURES, MIN_TEXTS, MIN_SHARE, LIFT, PROOF = 5000, 3, 0.01, 15.0, 15.0
 STEPS, RATE, DECAY = 400, 0.1, 1e-4
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -87,34 +88,63 @@ class Model:
         return -np.expm1(-np.bincount(s.doc, np.logaddexp(0, z), len(texts))) if self.weights else np.zeros(len(texts))
 
 
+def _once(code: np.ndarray, doc: np.ndarray, own: list[np.ndarray]) -> np.ndarray:
+    """The features of the given words of texts, each once a text."""
+    if not len(code):
+        return np.zeros(0, np.uint64)
+    lens = np.fromiter(map(len, own), np.int64, len(own))
+    off, joined, n = np.cumsum(lens) - lens, np.concatenate(own), lens[code]
+    at = np.repeat(off[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    kinds, which = np.unique(joined[at], return_inverse=True)
+    return kinds[np.unique(np.repeat(doc, n) * max(len(kinds), 1) + which) % max(len(kinds), 1)] if len(kinds) else kinds
+
+
+def _counted(features: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    return np.bincount(np.searchsorted(features, seen[np.isin(seen, features)]), minlength=len(features))
+
+
 def fit(rows: pa.Table) -> Model:
     label = rows.column("label").to_numpy().astype(bool)
     if label.all() or not label.any():
         return Model({}, -20.0)
-    s = Sentences(rows.column("text").combine_chunks() if rows.num_rows else rows.column("text"))
+    s = Sentences(rows.column("text").combine_chunks())
     w = s.words
-    own = [features_of(k) for k in w.keys]
-    names: dict[str, int] = {}
-    ids = [np.array([names.setdefault(f, len(names)) for f in fs], np.int64) for fs in own]
-    lens = np.fromiter(map(len, ids), np.int64, len(ids))
-    joined, off = np.concatenate(ids) if ids else np.zeros(0, np.int64), np.cumsum(lens) - lens
-    # texts by feature, each text once
+    # features that enough toxic texts have, counted by hash so that only numbers are held
     pair = np.unique(w.doc * len(w.keys) + w.codes)
     doc, code = pair // len(w.keys), pair % len(w.keys)
-    n = lens[code]
-    at = np.repeat(off[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    seen = np.unique(np.repeat(doc, n) * len(names) + joined[at])
-    feature, toxic = seen % len(names), label[seen // len(names)]
-    bad, good = np.bincount(feature[toxic], minlength=len(names)), np.bincount(feature[~toxic], minlength=len(names))
+    doc_t, code_t = doc[label[doc]], code[label[doc]]
+    words_t = np.unique(code_t)
+    own = [np.array([xxhash.xxh64_intdigest(f) for f in features_of(w.keys[c])], np.uint64) for c in words_t.tolist()]
+    seen = _once(np.searchsorted(words_t, code_t), doc_t, own)
+    values, bad = np.unique(seen, return_counts=True)
+    frequent = values[bad >= max(MIN_TEXTS, MIN_SHARE * label.sum())]
+    wanted = set(frequent.tolist())
+    # the same features in all texts, and their names
+    names: dict[int, str] = {}
+    own = []
+    for k in w.keys:
+        found = []
+        for f in features_of(k):
+            h = xxhash.xxh64_intdigest(f)
+            if h in wanted:
+                names[h] = f
+                found.append(h)
+        own.append(np.array(found, np.uint64))
+    bad = _counted(frequent, _once(code_t, doc_t, own))
+    good = _counted(frequent, _once(code[~label[doc]], doc[~label[doc]], own))
     lift = (bad + 0.1) / label.sum() / ((good + 0.5) / (~label).sum())
-    chosen = np.flatnonzero((bad >= max(MIN_TEXTS, MIN_SHARE * label.sum())) & (lift >= LIFT))
-    chosen = chosen[np.argsort(-(bad * np.log(lift))[chosen], kind="stable")][:FEATURES]
+    # half the likelihood ratio's statistic against a feature that is as frequent in both kinds
+    share, total = label.mean(), np.maximum(bad + good, 1)
+    proof = bad * np.log(np.maximum(bad / (total * share), 1e-9)) + good * np.log(np.maximum(good / (total * (1 - share)), 1e-9))
+    chosen = np.flatnonzero((lift >= LIFT) & (proof >= PROOF))
+    chosen = chosen[np.argsort(-(bad * np.log(np.maximum(lift, 1e-9)))[chosen], kind="stable")][:FEATURES]
     if not len(chosen):
         return Model({}, -20.0)
-    place = np.full(len(names), -1)
+    place = np.full(len(frequent), -1)
     place[chosen] = np.arange(len(chosen))
     # the chosen features of each word occurrence
-    use = place[joined]
+    lens = np.fromiter(map(len, own), np.int64, len(own))
+    use = place[np.searchsorted(frequent, np.concatenate(own))]
     word_of = np.repeat(np.arange(len(w.keys)), lens)[use >= 0]
     use = use[use >= 0]
     order = np.argsort(w.codes, kind="stable")
@@ -135,8 +165,7 @@ def fit(rows: pa.Table) -> Model:
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         theta, bias = theta - step[:-1], min(bias - step[-1], -5.0)
-    listed = list(names)
-    return Model({listed[f]: float(x) for f, x in zip(chosen.tolist(), theta.tolist(), strict=True) if abs(x) > 1e-3}, float(bias))
+    return Model({names[f]: float(x) for f, x in zip(frequent[chosen].tolist(), theta.tolist(), strict=True) if abs(x) > 1e-3}, float(bias))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
