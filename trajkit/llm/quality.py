@@ -22,7 +22,7 @@ from trajkit.llm.blocks import blocks
 from trajkit.llm.labelled import Words, held_out, sample
 
 #: Most labelled rows that the model is fitted on, by class.
-SAMPLE = {0: 2000, 1: 4000}
+SAMPLE = {0: 1500, 1: 3000}
 DIMENSIONS, NEIGHBOURS, POWER = 48, 25, 8
 _CLASSES, _SHAPES, _BUCKETS = 16, 6, 16
 TERMS = _CLASSES**3 + _SHAPES * _BUCKETS
@@ -95,6 +95,8 @@ def fit(rows: pa.Table) -> Model:
     x = np.concatenate([counts(b.column("text")) for b in blocks(iter(batches), "text")])
     idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
     w = x * idf
+    held = x.astype(np.float16)  # log counts are small; frees half the matrix while the basis is fitted
+    del x
     w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
     # truncated SVD by subspace iteration from a fixed start
     rank = min(DIMENSIONS, len(w))
@@ -102,7 +104,8 @@ def fit(rows: pa.Table) -> Model:
     for _ in range(4):
         q = np.linalg.qr(w.T @ (w @ q))[0]
     model = Model(idf, np.ascontiguousarray(q), np.zeros((0, rank), np.float32), labels)
-    model.vectors = model.latent(x)
+    del w
+    model.vectors = np.concatenate([model.latent(held[a : a + 512].astype(np.float32)) for a in range(0, len(held), 512)])
     return model
 
 
