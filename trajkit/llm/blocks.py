@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _SOLID = np.zeros(256, bool)
@@ -75,6 +75,14 @@ def segments(data: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
 
 
+def key_list(parts: pa.DictionaryArray) -> list[bytes]:
+    """The distinct stretches as bytes."""
+    _, off, data = parts.dictionary.buffers()
+    off = np.frombuffer(off, np.int32)[: len(parts.dictionary) + 1].tolist()
+    raw = data.to_pybytes() if data is not None else b""
+    return [raw[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+
+
 class SlotStore:
     """Id runs by key bytes; emptied when it has grown past its bounds."""
 
@@ -94,10 +102,9 @@ class SlotStore:
         if len(self.slot) > self.max_keys or self.bytes > self.max_bytes:
             self.clear()
 
-    def add(self, keys: list[bytes], runs: list) -> None:
-        lens = np.fromiter(map(len, runs), np.int64, len(runs))
-        total, n = int(lens.sum()), len(self.slot)
-        fresh = np.concatenate([np.asarray(r, np.uint32) for r in runs]) if total else np.zeros(0, np.uint32)
+    def add(self, keys: list[bytes], fresh: np.ndarray, lens: np.ndarray) -> None:
+        """``fresh`` holds the keys' runs joined, ``lens`` their lengths."""
+        total, n = len(fresh), len(self.slot)
         if len(fresh) and fresh.max() > np.iinfo(self.ids.dtype).max:
             self.ids = self.ids.astype(np.uint32)
         while self.n_ids + total > len(self.ids):
@@ -131,10 +138,35 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.store = SlotStore(max_words, max_bytes)
-
-    def raw(self, keys: list[bytes]) -> list[list[int]]:
-        texts = [k.decode("utf-8", "replace") for k in keys]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special and not (t.lstrip or t.rstrip or t.normalized)]
+        self.mark = special[-1] if special else None
+
+    def raw(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The keys' ids joined, and their numbers; one call a key."""
+        runs = [e.ids for e in self.tokenizer.encode_batch_fast([k.decode("utf-8", "replace") for k in keys], add_special_tokens=False)]
+        return np.array([i for r in runs for i in r], np.uint32), np.fromiter(map(len, runs), np.int64, len(runs))
+
+    def learn(self, keys: list[bytes]) -> None:
+        """Encode the keys into the store.
+
+        A special token splits a text before all else, so keys with one between them are encoded as
+        if each stood alone, in far fewer calls; keys that hold the token's string go one by one.
+        """
+        mark = self.mark.encode() if self.mark else b""
+        odd = [k for k in keys if mark in k]
+        if odd:
+            self.store.add(odd, *self.raw(odd))
+            keys = [k for k in keys if mark not in k]
+        end = self.tokenizer.token_to_id(self.mark) if self.mark else None
+        for i in range(0, len(keys), 20_000):
+            part = keys[i : i + 20_000]
+            texts = [mark.join([*part[j : j + 500], b""]).decode("utf-8", "replace") for j in range(0, len(part), 500)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = np.flatnonzero(ids == end)
+            if len(ends) == len(part):
+                self.store.add(part, ids[ids != end], np.diff(ends, prepend=-1) - 1)
+            else:
+                self.store.add(part, *self.raw(part))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows joined, and the rows' offsets into them."""
@@ -147,12 +179,10 @@ class WordEncoder:
         if not len(starts):
             return np.zeros(0, np.uint16), np.zeros(len(offsets), np.int64)
         words = segments(data, starts)
-        keys = words.dictionary.to_pylist()
+        keys = key_list(words)
         have = self.store.slot
-        new = [k for k in keys if k not in have]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            self.store.add(part, self.raw(part))
+        if new := [k for k in keys if k not in have]:
+            self.learn(new)
         slots = np.fromiter(map(have.__getitem__, keys), np.int64, len(keys))[words.indices.to_numpy()]
         ids, at = self.store.expand(slots)
         return ids, at[np.searchsorted(starts, offsets)]

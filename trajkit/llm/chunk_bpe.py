@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajkit.llm.blocks import SlotStore, WordEncoder, blocks, encoder, flat, safe_cuts, segments
+from trajkit.llm.blocks import SlotStore, WordEncoder, blocks, encoder, flat, key_list, safe_cuts, segments
 
 WINDOW = 32
 CHUNK_BITS = 9
@@ -51,9 +51,9 @@ class ChunkEncoder:
         self.words, self.bits, self.store = words, bits, SlotStore(max_chunks, max_bytes)
         self.reused = self.encoded = 0
 
-    def _fresh(self, keys: list[bytes]) -> list[np.ndarray]:
+    def _fresh(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids, at = self.words.encode(np.frombuffer(b"".join(keys), np.uint8), np.append(0, np.cumsum([len(k) for k in keys])).astype(np.int64))
-        return [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        return ids, np.diff(at)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
@@ -71,7 +71,7 @@ class ChunkEncoder:
         parts = segments(data, starts)
         inner = np.isin(starts, first[first < last])  # a chunk's own stretch; the others are joins
         codes = parts.indices.to_numpy()
-        keys = parts.dictionary.to_pylist()
+        keys = key_list(parts)
         kept = np.zeros(len(keys), bool)
         kept[codes[inner]] = True
         have = self.store.slot
@@ -79,11 +79,11 @@ class ChunkEncoder:
         self.encoded += len(new)
         self.reused += int(inner.sum()) - len(new)
         if new:
-            self.store.add(new, self._fresh(new))
+            self.store.add(new, *self._fresh(new))
         joins = SlotStore(1, 1)
         once = [k for k, keep in zip(keys, kept, strict=True) if not keep and k not in have]
         if once:
-            joins.add(once, self._fresh(once))
+            joins.add(once, *self._fresh(once))
         base, n = self.store.n_ids, len(have)
         both = SlotStore(1, 1)
         wide = np.uint32 if self.store.ids.dtype == np.uint32 or joins.ids.dtype == np.uint32 else np.uint16

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajkit.llm.blocks import flat, safe_cuts, segments
+from trajkit.llm.blocks import flat, key_list, safe_cuts, segments
 
 
 def held_out(mod: int, rest: int):
@@ -45,7 +45,7 @@ class Words:
         self.starts = np.flatnonzero(mask)
         if len(self.starts):
             found = segments(self.data, self.starts)
-            self.codes, self.keys = found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+            self.codes, self.keys = found.indices.to_numpy().astype(np.int64), key_list(found)
         else:
             self.codes, self.keys = np.zeros(0, np.int64), []
         self.bounds = np.searchsorted(self.starts, self.offsets)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajkit.llm.blocks import blocks, flat, segments
+from trajkit.llm.blocks import blocks, flat, key_list, segments
 from trajkit.session import written
 
 BANDS, ROWS, BITS = 32, 4, 4
@@ -74,7 +74,7 @@ def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
     # from one word's start to the next; what follows the word is cut from the distinct ones
     runs = segments(data[start[0] :], start - start[0])
-    keys = runs.dictionary.to_pylist()
+    keys = key_list(runs)
     hashes = np.fromiter((xxhash.xxh64_intdigest(k.split(maxsplit=1)[0] if k[-1:].isspace() else k) for k in keys), np.uint64, len(keys))
     h = hashes[runs.indices.to_numpy()]
     bounds = np.searchsorted(start, offsets)
