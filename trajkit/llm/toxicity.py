@@ -26,7 +26,7 @@ from trajkit.llm.labelled import Words, held_out, sample
 
 #: Most labelled rows that the model is fitted on, by class.
 SAMPLE = {0: 3000, 1: 2000}
-FEATURES, MIN_TEXTS, MIN_SHARE, LIFT, PROOF = 5000, 3, 0.01, 15.0, 15.0
+FEATURES, MIN_TEXTS, MIN_SHARE, LIFT, PROOF = 5000, 3, 0.01, 15.0, 10.0
 STEPS, RATE, DECAY = 400, 0.1, 1e-4
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
