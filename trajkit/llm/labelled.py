@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,8 +18,8 @@ def held_out(mod: int, rest: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % mod == rest, F.lit(True))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, per_class: dict[int, int]) -> pa.Table:
-    """``text`` and ``label`` of at most so many rows of each class, the first by a hash of doc_id.
+def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, per_class: dict[int, int]) -> DataFrame:
+    """``doc_id``, ``text`` and ``label`` of at most so many rows of each class, the first by a hash of doc_id.
 
     ``allowed`` is the condition on doc_id under which a label may be learnt from.
     """
@@ -28,8 +31,21 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, per_class: d
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").toArrow()  # bounded by per_class
-    return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")]).select(["text", "label"])
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")  # bounded by per_class
+
+
+def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]) -> object:
+    """What ``fit`` makes of a bounded sample's ``text, label``, in order, in one task of an executor.
+
+    The driver gets the model only; a lost executor means that the task runs again, to the same model.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")]).select(["text", "label"])
+        return pa.table({"model": pa.array([pickle.dumps(fit(table))], pa.binary())})
+
+    found = rows.groupBy().applyInArrow(run, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fit(pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.int32())}))
 
 
 class Words:

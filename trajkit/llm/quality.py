@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajkit.llm.blocks import blocks
-from trajkit.llm.labelled import Words, held_out, sample
+from trajkit.llm.labelled import Words, fitted, held_out, sample
 
 #: Most labelled rows that the model is fitted on, by class.
 SAMPLE = {0: 1500, 1: 3000}
@@ -121,7 +121,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(sample(docs, labels, "quality", ~held_out(3, 1), SAMPLE))
+    return fitted(sample(docs, labels, "quality", ~held_out(3, 1), SAMPLE), fit)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
