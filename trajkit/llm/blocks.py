@@ -8,6 +8,7 @@ tokenizers library once; the rest is array work.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -48,6 +49,15 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             end = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
             yield batch.slice(at, end - at)
             at = end
+    release()
+
+
+def release() -> None:
+    """Give free memory back to the system, so that workers which wait don't hold it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def safe_cuts(data: np.ndarray) -> np.ndarray:

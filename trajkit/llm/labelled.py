@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import multiprocessing
 import pickle
 from collections.abc import Callable
 
@@ -34,6 +35,21 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, per_class: d
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")  # bounded by per_class
 
 
+def _apart(fit: Callable[[pa.Table], object], table: pa.Table) -> bytes:
+    """The pickled result of a forked child: what fitting takes of memory goes with it, and the worker stays small."""
+    ctx = multiprocessing.get_context("fork")
+    ours, theirs = ctx.Pipe(duplex=False)
+    child = ctx.Process(target=lambda: theirs.send_bytes(pickle.dumps(fit(table))))
+    child.start()
+    theirs.close()
+    try:
+        return ours.recv_bytes()
+    except EOFError:
+        raise RuntimeError("fitting failed; the task's log has its error") from None
+    finally:
+        child.join()
+
+
 def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]) -> object:
     """What ``fit`` makes of a bounded sample's ``text, label``, in order, in one task of an executor.
 
@@ -42,7 +58,7 @@ def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]) -> object:
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")]).select(["text", "label"])
-        return pa.table({"model": pa.array([pickle.dumps(fit(table))], pa.binary())})
+        return pa.table({"model": pa.array([_apart(fit, table)], pa.binary())})
 
     found = rows.groupBy().applyInArrow(run, "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else fit(pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.int32())}))

@@ -68,7 +68,7 @@ class Model:
         self.__init__(*state)
 
     def word_logits(self, keys: list[bytes]) -> np.ndarray:
-        if len(self.known) > 500_000:
+        if len(self.known) > 150_000:
             self.known.clear()
         known, get = self.known, self.weights.get
         for k in keys:
