@@ -46,6 +46,9 @@ class Dialect:
     def only(self, x: str, chars: str) -> str:
         return f"regexp_replace({x}, '[^{chars}]', '', 'g')"
 
+    def series(self, lo: str, hi: str) -> str:
+        return f"unnest(range({lo}, {hi} + 1))"
+
     # what follows is spelled alike
     def uniform(self, *parts: str) -> str:
         """Keyed draw in (0, 1): the same for the same key on any partitioning."""
@@ -98,3 +101,6 @@ class SparkSql(Dialect):
 
     def only(self, x: str, chars: str) -> str:
         return f"regexp_replace({x}, '[^{chars}]', '')"
+
+    def series(self, lo: str, hi: str) -> str:
+        return f"explode(sequence({lo}, {hi}))"

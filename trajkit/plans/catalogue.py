@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trajkit.functions.dialect import Dialect, SparkSql
 from trajkit.operators import graph, spatial
+from trajkit.plans import audits
 from trajkit.plans import views as v
 
 SQL: dict[str, Callable[[Dialect], str]] = {}
@@ -363,10 +364,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(te
     "nearest_station": nearest_station,
     "knn_stations": knn_stations,
     "transfer_anchors_within_150m": transfer_anchors_within_150m,
+    **audits.QUERIES,
 }
 ORACLE_SQL: dict[str, str] = {name: text(Dialect()) for name, text in SQL.items()} | {
     "connected_components": f"""WITH RECURSIVE {v.edges(Dialect())}, adj AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges), reach AS (SELECT DISTINCT a AS node, a AS seen FROM adj UNION SELECT r.node, e.b FROM reach r JOIN adj e ON r.seen = e.a) SELECT node, min(seen) AS component FROM reach GROUP BY node""",
     "nearest_station": _near_sql(900.0, 1, "left_id AS id, right_id AS station, round(dist, 2) AS distance_m"),
     "knn_stations": _near_sql(1500.0, 5, "left_id AS id, rank, right_id AS station, round(dist, 2) AS distance_m"),
     "transfer_anchors_within_150m": _near_sql(150.0, None, "left_id AS stop, right_id AS station, round(dist, 2) AS distance_m"),
+    **audits.ORACLE_SQL,
 }
