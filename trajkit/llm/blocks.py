@@ -198,11 +198,12 @@ class WordEncoder:
         return ids, at[np.searchsorted(starts, offsets)]
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder per file and Python worker; workers outlive tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+def encoder(path: str, max_words: int = 1_200_000) -> WordEncoder:
+    """One encoder per file, size of its cache and Python worker; workers outlive tasks."""
+    key = f"{path}:{max_words}"
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(path, max_words)
+    return _encoders[key]
 
 
 def vocabulary(name: str) -> str:

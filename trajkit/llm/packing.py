@@ -31,9 +31,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int |
     """Pieces of at most ``capacity`` ids; with ``keep_ids`` their ids too, as little-endian uint32."""
 
     def run(batches):
-        tool = encoder(tokenizer)
+        tool = encoder(tokenizer, max_words=400_000)  # beside other stages' workers
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", 4 << 20):
             ids, at = tool.encode(*flat(block.column("text")))
             raw, bounds = ids.astype("<u4").tobytes(), (at * 4).tolist()
             doc, piece, start, length, crc, own = [], [], [], [], [], []
