@@ -7,6 +7,8 @@ the next one, so a lost executor never sends the work back over earlier stages.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trajkit.llm import neardup, packing, pii, quality, toxicity
@@ -14,6 +16,22 @@ from trajkit.llm.blocks import vocabulary
 from trajkit.session import table, written
 
 
+#: Rows in a batch between Spark and Python workers, for all stages: workers of several stages stay on
+#: an executor side by side, and batches of 10000 rows (the default) hold much of its memory.
+BATCH_ROWS = 2000
+
+
+def lean(stage):
+    """``stage`` with batches of ``BATCH_ROWS`` rows."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -41,11 +59,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality", keep_quality),
-    ("toxicity", keep_clean),
-    ("near duplicates", drop_duplicates),
-    ("personal data", redact_private),
-    ("packing", pack),
+    ("quality", lean(keep_quality)),
+    ("toxicity", lean(keep_clean)),
+    ("near duplicates", lean(drop_duplicates)),
+    ("personal data", lean(redact_private)),
+    ("packing", lean(pack)),
 ]
 
 #: Trained classifiers and tokenizers have no SQL form.
