@@ -91,22 +91,20 @@ def fit(rows: pa.Table) -> Model:
     labels = rows.column("label").to_numpy().astype(np.float64)
     if not len(labels):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels)
-    batches = rows.combine_chunks().to_batches()
-    x = np.concatenate([counts(b.column("text")) for b in blocks(iter(batches), "text")])
-    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
-    w = x * idf
-    held = x.astype(np.float16)  # log counts are small; frees half the matrix while the basis is fitted
-    del x
-    w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
+    w, at = np.empty((rows.num_rows, TERMS), np.float32), 0
+    for block in blocks(iter(rows.combine_chunks().to_batches()), "text", 1 << 20):
+        w[at : at + block.num_rows] = counts(block.column("text"))
+        at += block.num_rows
+    idf = (np.log((1 + len(w)) / (1 + np.count_nonzero(w, axis=0))) + 1).astype(np.float32)
+    w *= idf
+    w /= np.maximum(np.sqrt(np.einsum("ij,ij->i", w, w))[:, None], 1e-9)
     # truncated SVD by subspace iteration from a fixed start
     rank = min(DIMENSIONS, len(w))
     q = np.linalg.qr(w.T @ (w @ np.random.default_rng(11).normal(size=(w.shape[1], rank)).astype(np.float32)))[0]
     for _ in range(4):
         q = np.linalg.qr(w.T @ (w @ q))[0]
-    model = Model(idf, np.ascontiguousarray(q), np.zeros((0, rank), np.float32), labels)
-    del w
-    model.vectors = np.concatenate([model.latent(held[a : a + 512].astype(np.float32)) for a in range(0, len(held), 512)])
-    return model
+    z = w @ q
+    return Model(idf, np.ascontiguousarray(q), z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9), labels)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,6 +14,7 @@ every score is 0.  Null and repeated ids are kept.
 from __future__ import annotations
 
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,15 @@ from trajkit.llm.labelled import Words, fitted, held_out, sample
 SAMPLE = {0: 3000, 1: 2000}
 FEATURES, MIN_TEXTS, MIN_SHARE, LIFT, PROOF = 5000, 3, 0.01, 15.0, 10.0
 STEPS, RATE, DECAY = 400, 0.1, 1e-4
+#: Bytes of text whose words are held at a time while fitting.
+FIT_BYTES = 1 << 20
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+_EDGES = string.whitespace + string.punctuation + string.digits
 
 
 def features_of(word: bytes) -> list[str]:
-    out = []
-    for part in _NOT_LETTERS.split(word.decode("utf-8", "replace").lower()):
+    out, text = [], word.decode("utf-8", "replace").lower().strip(_EDGES)
+    for part in (text,) if text.isalpha() else _NOT_LETTERS.split(text):
         if part:
             out += [part, *(f"{part[:n]}-" for n in range(3, min(7, len(part) + 1)))]
     return out
@@ -88,8 +92,11 @@ class Model:
         return -np.expm1(-np.bincount(s.doc, np.logaddexp(0, z), len(texts))) if self.weights else np.zeros(len(texts))
 
 
-def _once(code: np.ndarray, doc: np.ndarray, own: list[np.ndarray]) -> np.ndarray:
-    """The features of the given words of texts, each once a text."""
+def _once(s: Sentences, own: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """The features of the marked texts of a block, each once a text; ``own`` has the features of each word."""
+    pair = np.unique(s.words.doc * max(len(own), 1) + s.words.codes)
+    doc, code = pair // max(len(own), 1), pair % max(len(own), 1)
+    doc, code = doc[rows[doc]], code[rows[doc]]
     if not len(code):
         return np.zeros(0, np.uint64)
     lens = np.fromiter(map(len, own), np.int64, len(own))
@@ -99,73 +106,90 @@ def _once(code: np.ndarray, doc: np.ndarray, own: list[np.ndarray]) -> np.ndarra
     return kinds[np.unique(np.repeat(doc, n) * max(len(kinds), 1) + which) % max(len(kinds), 1)] if len(kinds) else kinds
 
 
-def _counted(features: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    return np.bincount(np.searchsorted(features, seen[np.isin(seen, features)]), minlength=len(features))
-
-
-def fit(rows: pa.Table) -> Model:
-    label = rows.column("label").to_numpy().astype(bool)
-    if label.all() or not label.any():
-        return Model({}, -20.0)
-    s = Sentences(rows.column("text").combine_chunks())
-    w = s.words
-    # features that enough toxic texts have, counted by hash so that only numbers are held
-    pair = np.unique(w.doc * len(w.keys) + w.codes)
-    doc, code = pair // len(w.keys), pair % len(w.keys)
-    doc_t, code_t = doc[label[doc]], code[label[doc]]
-    words_t = np.unique(code_t)
-    own = [np.array([xxhash.xxh64_intdigest(f) for f in features_of(w.keys[c])], np.uint64) for c in words_t.tolist()]
-    seen = _once(np.searchsorted(words_t, code_t), doc_t, own)
-    values, bad = np.unique(seen, return_counts=True)
-    frequent = values[bad >= max(MIN_TEXTS, MIN_SHARE * label.sum())]
-    wanted = set(frequent.tolist())
-    # the same features in all texts, and their names
-    names: dict[int, str] = {}
-    own = []
-    for k in w.keys:
-        found = []
-        for f in features_of(k):
-            h = xxhash.xxh64_intdigest(f)
-            if h in wanted:
-                names[h] = f
-                found.append(h)
-        own.append(np.array(found, np.uint64))
-    bad = _counted(frequent, _once(code_t, doc_t, own))
-    good = _counted(frequent, _once(code[~label[doc]], doc[~label[doc]], own))
+def _parts(rows: pa.Table):
+    """Sentences and labels of blocks of ``FIT_BYTES`` of text, so that fitting holds one block's words at a time."""
+    for batch in rows.combine_chunks().to_batches():
+        for block in blocks(iter([batch]), "text", FIT_BYTES):
+            yield Sentences(block.column("text")), block.column("label").to_numpy().astype(bool)
+
+
+def _hashes(key: bytes) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f) for f in features_of(key)], np.uint64)
+
+
+def _chosen(rows: pa.Table, label: np.ndarray) -> list[str]:
+    """The features that get a weight."""
+    # what toxic texts hold, counted by hash so that only numbers are held
+    values, bad = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for s, _ in _parts(rows.filter(pa.array(label))):
+        seen = _once(s, [_hashes(k) for k in s.words.keys], np.ones(len(s.words.offsets) - 1, bool))
+        both = np.concatenate([values, seen])
+        count = np.concatenate([bad, np.ones(len(seen), np.int64)])
+        values, which = np.unique(both, return_inverse=True)
+        bad = np.bincount(which, count, len(values)).astype(np.int64)
+    enough = bad >= max(MIN_TEXTS, MIN_SHARE * label.sum())
+    frequent, bad = values[enough], bad[enough]
+    # the same features in clean texts, and their names
+    wanted, names = set(frequent.tolist()), {}
+    good = np.zeros(len(frequent), np.int64)
+    for s, y in _parts(rows):
+        own = []
+        for k in s.words.keys:
+            found = [(h, f) for f in features_of(k) if (h := xxhash.xxh64_intdigest(f)) in wanted]
+            names.update(found)
+            own.append(np.array([h for h, _ in found], np.uint64))
+        good += np.bincount(np.searchsorted(frequent, _once(s, own, ~y)), minlength=len(frequent))
     lift = (bad + 0.1) / label.sum() / ((good + 0.5) / (~label).sum())
     # half the likelihood ratio's statistic against a feature that is as frequent in both kinds
     share, total = label.mean(), np.maximum(bad + good, 1)
     proof = bad * np.log(np.maximum(bad / (total * share), 1e-9)) + good * np.log(np.maximum(good / (total * (1 - share)), 1e-9))
     chosen = np.flatnonzero((lift >= LIFT) & (proof >= PROOF))
     chosen = chosen[np.argsort(-(bad * np.log(np.maximum(lift, 1e-9)))[chosen], kind="stable")][:FEATURES]
-    if not len(chosen):
+    return [names[h] for h in frequent[chosen].tolist()]
+
+
+def _occurrences(rows: pa.Table, chosen: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sentences with chosen features: each one's text, then pairs of sentence and feature; and each text's number of other sentences."""
+    place = {f: i for i, f in enumerate(chosen)}
+    docs, sentences, features, others = [], [], [], []
+    n_doc = n_sentence = 0
+    for s, y in _parts(rows):
+        own = [[place[f] for f in features_of(k) if f in place] for k in s.words.keys]
+        lens = np.fromiter(map(len, own), np.int64, len(own))
+        off, joined = np.cumsum(lens) - lens, np.array([i for o in own for i in o], np.int64)
+        at = np.flatnonzero(lens[s.words.codes]) if len(own) else np.zeros(0, np.int64)
+        code = s.words.codes[at]
+        n = lens[code]
+        used, which = np.unique(s.of_word[at], return_inverse=True)
+        sentences.append(np.repeat(which, n) + n_sentence)
+        features.append(joined[np.repeat(off[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+        docs.append(s.doc[used] + n_doc)
+        others.append(np.bincount(s.doc, minlength=len(y)) - np.bincount(s.doc[used], minlength=len(y)))
+        n_doc, n_sentence = n_doc + len(y), n_sentence + len(used)
+    return np.concatenate(docs), np.concatenate(sentences), np.concatenate(features), np.concatenate(others)
+
+
+def fit(rows: pa.Table) -> Model:
+    label = rows.column("label").to_numpy().astype(bool)
+    chosen = _chosen(rows, label) if label.any() and not label.all() else []
+    if not chosen:
         return Model({}, -20.0)
-    place = np.full(len(frequent), -1)
-    place[chosen] = np.arange(len(chosen))
-    # the chosen features of each word occurrence
-    lens = np.fromiter(map(len, own), np.int64, len(own))
-    use = place[np.searchsorted(frequent, np.concatenate(own))]
-    word_of = np.repeat(np.arange(len(w.keys)), lens)[use >= 0]
-    use = use[use >= 0]
-    order = np.argsort(w.codes, kind="stable")
-    bounds = np.searchsorted(w.codes[order], np.arange(len(w.keys) + 1))
-    n = np.diff(bounds)[word_of]
-    at = order[np.repeat(bounds[word_of] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    sentence, feature = s.of_word[at], np.repeat(use, n)
-    count, y = len(s.first), label
+    doc, sentence, feature, others = _occurrences(rows, chosen)
+    count, y = len(doc), label
     weight = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
     theta, bias = np.full(len(chosen), 0.5), -6.0
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for t in range(1, STEPS + 1):
         z = bias + np.bincount(sentence, theta[feature], count)
-        p, total = 1 / (1 + np.exp(-z)), np.bincount(s.doc, np.logaddexp(0, z), len(y))
+        p, alone = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
+        total = np.bincount(doc, np.logaddexp(0, z), len(y)) + others * np.logaddexp(0, bias)
         by_doc = np.where(y, -1 / np.maximum(np.expm1(np.minimum(total, 50.0)), 1e-6), 1.0) * weight
-        dz = by_doc[s.doc] * p
-        g = np.append(np.bincount(feature, dz[sentence], len(chosen)) + DECAY * theta, dz.sum())
+        dz = by_doc[doc] * p
+        g = np.append(np.bincount(feature, dz[sentence], len(chosen)) + DECAY * theta, dz.sum() + (by_doc * others).sum() * alone)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         theta, bias = theta - step[:-1], min(bias - step[-1], -5.0)
-    return Model({names[f]: float(x) for f, x in zip(frequent[chosen].tolist(), theta.tolist(), strict=True) if abs(x) > 1e-3}, float(bias))
+    return Model({f: float(x) for f, x in zip(chosen, theta.tolist(), strict=True) if abs(x) > 1e-3}, float(bias))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
