@@ -190,7 +190,7 @@ def exact_duplicates(d):
 
 @query
 def near_signatures(d):
-    return f"""WITH {v.gps(d)}, s AS (SELECT user_id, {d.sha(d.joined("CAST(CAST(floor(lat * 50) AS BIGINT) AS STRING) || ',' || CAST(CAST(floor(lon * 50) AS BIGINT) AS STRING)", "seq", ";"))} AS signature FROM gps WHERE seq < 3 GROUP BY user_id) SELECT signature, count(*) AS n, min(user_id) AS first_user FROM s GROUP BY signature"""
+    return f"""WITH {v.gps(d)}, s AS (SELECT user_id, {d.sha(d.joined("CAST(CAST(floor(lat * 50) AS BIGINT) AS STRING) || ',' || CAST(CAST(floor(lon * 50) AS BIGINT) AS STRING)", "seq", ";"))} AS signature FROM gps GROUP BY user_id) SELECT signature, count(*) AS n, min(user_id) AS first_user FROM s GROUP BY signature"""
 
 
 @query
