@@ -1,6 +1,8 @@
 """Queries take every row of their tables: against plain Python on small fixtures, not against their own SQL."""
 
 import datetime
+import heapq
+import random
 
 import duckdb
 import pytest
@@ -40,3 +42,41 @@ def test_near_signatures_tell_trips_apart_that_part_after_the_third_fix(spark, t
     same = [(u, e, 10 * e) for u in (1, 2, 3) for e in (1, 2, 3)]
     folder = tables(events=events([*same, (1, 4, 40), (2, 5, 40), (3, 4, 40)]))
     assert sorted((n, first) for _, n, first in result(spark, folder, "near_signatures")) == [(1, 2), (2, 1)]
+
+
+def lineitem(rows):
+    """From ``order, part, supplier, line, quantity``."""
+    columns = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INTEGER, l_quantity DOUBLE, l_extendedprice DOUBLE"
+    return columns, [(*r, 1.0) for r in rows]
+
+
+def shortest(links, src, dst):
+    reached, at = {src: 0}, [(0, src)]
+    while at:
+        d, node = heapq.heappop(at)
+        for nxt, length in links[node].items():
+            if d + length < reached.get(nxt, float("inf")):
+                reached[nxt] = d + length
+                heapq.heappush(at, (d + length, nxt))
+    return reached[dst]
+
+
+def test_graph_queries_take_every_stop_and_only_adjacent_ones(spark, tables):
+    rnd = random.Random(8)
+    routes = [[rnd.randrange(40) for _ in range(rnd.randint(1, 6))] for _ in range(30)] + [[100, 101, 102, 103], [104]]
+    folder = tables(lineitem=lineitem([(o, stop, 1, i, rnd.randint(1, 50)) for o, way in enumerate(routes) for i, stop in enumerate(way)]))
+    edges = {(min(p), max(p)) for way in routes for p in zip(way, way[1:], strict=False) if p[0] != p[1]}
+    links = {n: {} for e in edges for n in e}
+    for a, b in edges:
+        links[a][b] = links[b][a] = 1 + (a * 31 + b) % 9
+    group = {n: n for n in links}
+    for _ in links:
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+    far = {a: max((c for b in links[a] for c in links[b] if c != a), default=None) for a in links}
+    want = {(a, shortest(links, a, c)) for a, c in far.items() if c is not None}
+    assert set(result(spark, folder, "graph_edges")) == edges
+    assert result(spark, folder, "graph_stats") == [(len(edges), len(links), max(map(len, links.values())))]
+    assert set(result(spark, folder, "connected_components")) == set(group.items())
+    assert set(result(spark, folder, "shortest_distances")) == want
+    assert set(result(spark, folder, "shortest_routes")) == {(a, "OK", d) for a, d in want}

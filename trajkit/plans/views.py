@@ -41,5 +41,5 @@ def stops(d: Dialect) -> str:
 
 
 def edges(d: Dialect) -> str:
-    return f"""{stops(d)}, hops AS (SELECT stop AS src, lead(stop) OVER (PARTITION BY route ORDER BY pos) AS dst, route, qty FROM stops WHERE qty >= 47),
+    return f"""{stops(d)}, hops AS (SELECT stop AS src, lead(stop) OVER (PARTITION BY route ORDER BY pos) AS dst, route, qty FROM stops),
         edges AS (SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM hops WHERE dst IS NOT NULL AND src <> dst)"""
