@@ -80,3 +80,13 @@ def test_graph_queries_take_every_stop_and_only_adjacent_ones(spark, tables):
     assert set(result(spark, folder, "connected_components")) == set(group.items())
     assert set(result(spark, folder, "shortest_distances")) == want
     assert set(result(spark, folder, "shortest_routes")) == {(a, "OK", d) for a, d in want}
+
+
+def test_mode_sequences_and_motion_take_all_segments(spark, tables):
+    days = {1: range(6), 2: range(6), 3: [0, 1, 2, 3, 5]}
+    folder = tables(events=events([(u, 10 * u + k, 86400 * k) for u, own in days.items() for k in own]))
+    first = int((T0 - datetime.datetime(1970, 1, 1)).days)
+    modes = [">".join(["walk", "bike", "car", "bus", "rail"][(u + first + k) % 5] for k in own) for u, own in days.items()]
+    assert sorted(result(spark, folder, "mode_sequence_histogram")) == sorted((m, modes.count(m)) for m in set(modes))
+    legs = {(r.trip_id, r.leg) for r in catalogue.QUERIES["motion_points"](spark, folder).collect()}
+    assert legs == {(f"trip_{u:06d}", k) for u, own in days.items() for k in range(len(own))}

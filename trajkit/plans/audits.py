@@ -151,7 +151,7 @@ def repaired_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 def motion_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points of trips whose legs are the days' segments."""
     d = SparkSql(sf_dir)
-    return folds.motion(spark.sql(f"WITH {v.segments(d)} SELECT 'trip_' || lpad(CAST(user_id AS STRING), 6, '0') AS trip_id, segment_id AS leg, mode, 200 + (user_id * 37 + segment_id * 101) % 1500 AS length_m FROM segments WHERE segment_id < 3"))
+    return folds.motion(spark.sql(f"WITH {v.segments(d)} SELECT 'trip_' || lpad(CAST(user_id AS STRING), 6, '0') AS trip_id, segment_id AS leg, mode, 200 + (user_id * 37 + segment_id * 101) % 1500 AS length_m FROM segments"))
 
 
 def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

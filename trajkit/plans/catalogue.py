@@ -174,7 +174,7 @@ def segment_transfers(d):
 
 @query
 def mode_sequence_histogram(d):
-    return f"""WITH {v.segments(d)}, s AS (SELECT user_id, {d.joined("mode", "segment_id", ">")} AS modes FROM segments WHERE segment_id < 4 GROUP BY user_id) SELECT modes, count(*) AS trips FROM s GROUP BY modes"""
+    return f"""WITH {v.segments(d)}, s AS (SELECT user_id, {d.joined("mode", "segment_id", ">")} AS modes FROM segments GROUP BY user_id) SELECT modes, count(*) AS trips FROM s GROUP BY modes"""
 
 
 @query
