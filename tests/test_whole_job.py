@@ -90,3 +90,8 @@ def test_mode_sequences_and_motion_take_all_segments(spark, tables):
     assert sorted(result(spark, folder, "mode_sequence_histogram")) == sorted((m, modes.count(m)) for m in set(modes))
     legs = {(r.trip_id, r.leg) for r in catalogue.QUERIES["motion_points"](spark, folder).collect()}
     assert legs == {(f"trip_{u:06d}", k) for u, own in days.items() for k in range(len(own))}
+
+
+def test_hard_cases_come_at_every_stride_without_an_upper_bound(spark, tables):
+    folder = tables(customer=("c_custkey BIGINT", [(k + 1,) for k in range(250)]))
+    assert sorted(result(spark, folder, "hard_case_schedule")) == [(k, k % 5) for k in range(0, 250, 20)]

@@ -261,7 +261,7 @@ def journey_seeding(d):
 
 @query
 def hard_case_schedule(d):
-    return f"""WITH c AS (SELECT c_custkey - 1 AS k FROM {d.t("customer")}) SELECT k AS offset_no, k % 5 AS hard_case FROM c WHERE k < 100 AND k % 20 = 0"""
+    return f"""WITH c AS (SELECT c_custkey - 1 AS k FROM {d.t("customer")}) SELECT k AS offset_no, k % 5 AS hard_case FROM c WHERE k % 20 = 0"""
 
 
 @query
