@@ -95,3 +95,14 @@ def test_mode_sequences_and_motion_take_all_segments(spark, tables):
 def test_hard_cases_come_at_every_stride_without_an_upper_bound(spark, tables):
     folder = tables(customer=("c_custkey BIGINT", [(k + 1,) for k in range(250)]))
     assert sorted(result(spark, folder, "hard_case_schedule")) == [(k, k % 5) for k in range(0, 250, 20)]
+
+
+def test_usage_and_shared_stops_take_all_line_items(spark, tables):
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(20), rnd.randrange(12), rnd.randrange(6), i, rnd.randint(1, 50)) for i in range(60)] + [(50, 90, 6, 0, 1), (51, 90, 7, 0, 1)]
+    folder = tables(lineitem=lineitem(rows), supplier=("s_suppkey BIGINT", [(s,) for s in range(9)]))
+    uses = {s: [o for o, _, own, *_ in rows if own == s] for s in range(9)}
+    assert set(result(spark, folder, "route_usage")) == {(s, len(o), len(set(o)), bool(o)) for s, o in uses.items()}
+    names = {s: {part for _, part, own, *_ in rows if own == s} for s in range(9)}
+    shared = {(a, b, len(names[a] & names[b])) for a in names for b in names if a < b}
+    assert set(result(spark, folder, "journeys_at_transfer_names")) == {x for x in shared if x[2]}

@@ -67,7 +67,7 @@ def point_audit(d):
 
 @query
 def route_usage(d):
-    return f"""WITH u AS (SELECT l_suppkey AS id, count(*) AS n, count(DISTINCT l_orderkey) AS trips FROM {d.t("lineitem")} WHERE l_quantity >= 49 GROUP BY l_suppkey)
+    return f"""WITH u AS (SELECT l_suppkey AS id, count(*) AS n, count(DISTINCT l_orderkey) AS trips FROM {d.t("lineitem")} GROUP BY l_suppkey)
         SELECT s.s_suppkey AS route, coalesce(u.n, 0) AS uses, coalesce(u.trips, 0) AS trips, u.n IS NOT NULL AS used FROM {d.t("supplier")} s LEFT JOIN u ON u.id = s.s_suppkey"""
 
 
@@ -80,7 +80,7 @@ def id_sets_equal(d):
 @query
 def journeys_at_transfer_names(d):
     """Lines that meet at a stop of the same name, counted."""
-    return f"""WITH s AS (SELECT DISTINCT l_suppkey AS line, l_partkey AS name FROM {d.t("lineitem")} WHERE l_quantity >= 45) SELECT a.line AS line_a, b.line AS line_b, count(*) AS shared FROM s a JOIN s b ON a.name = b.name AND a.line < b.line GROUP BY a.line, b.line"""
+    return f"""WITH s AS (SELECT DISTINCT l_suppkey AS line, l_partkey AS name FROM {d.t("lineitem")}) SELECT a.line AS line_a, b.line AS line_b, count(*) AS shared FROM s a JOIN s b ON a.name = b.name AND a.line < b.line GROUP BY a.line, b.line"""
 
 
 @query
