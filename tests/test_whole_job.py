@@ -2,6 +2,7 @@
 
 import datetime
 import heapq
+import math
 import random
 
 import duckdb
@@ -106,3 +107,27 @@ def test_usage_and_shared_stops_take_all_line_items(spark, tables):
     names = {s: {part for _, part, own, *_ in rows if own == s} for s in range(9)}
     shared = {(a, b, len(names[a] & names[b])) for a in names for b in names if a < b}
     assert set(result(spark, folder, "journeys_at_transfer_names")) == {x for x in shared if x[2]}
+
+
+def metres(a, b):
+    h = math.sin(math.radians(b[0] - a[0]) / 2) ** 2 + math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+    return 2 * 6_371_000 * math.asin(math.sqrt(h))
+
+
+def test_resampled_lines_have_a_point_every_35_m_and_both_ends(spark, tables):
+    trips = {1: [0, 1], 2: [3, 3, 7, 11], 3: [5, 5], 4: [6]}
+    folder = tables(events=events([(u, e, i) for u, own in trips.items() for i, e in enumerate(own)]))
+    want = {}
+    for u, own in trips.items():
+        line = [(37.45 + e * 7919 % 10000 * 1e-5, 126.9 + e * 104729 % 10000 * 1e-5) for e in own]
+        points, left = [line[0]] if len(line) > 1 else [], 35.0
+        for a, b in zip(line, line[1:], strict=False):
+            while left <= (long := metres(a, b)) and long:
+                points.append((a[0] + left / long * (b[0] - a[0]), a[1] + left / long * (b[1] - a[1])))
+                left += 35.0
+            left -= long
+        points += [line[-1]] if points and points[-1] != line[-1] else []
+        want |= {(f"trip_{u:06d}", k): p for k, p in enumerate(points)}
+    got = {(trip, k): (lat, lon) for trip, k, lat, lon in result(spark, folder, "polyline_resample")}
+    assert got.keys() == want.keys()
+    assert all(abs(x - y) < 6e-6 for k, p in want.items() for x, y in zip(p, got[k], strict=True))

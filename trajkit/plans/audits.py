@@ -14,7 +14,7 @@ from trajkit.sources import files
 from trajkit.streaming import trips
 
 SQL: dict[str, Callable[[Dialect], str]] = {}
-SPACING_M, REACH = 10_000, 18
+SPACING_M, REACH = 35, 18
 
 
 def query(f: Callable[[Dialect], str]) -> Callable[[Dialect], str]:
@@ -40,10 +40,15 @@ def point_to_polyline(d):
 
 @query
 def polyline_resample(d):
-    return f"""WITH {v.motion(d)}, c AS (SELECT trip_id, seq, lat0, lon0, lat, lon, dist, sum(coalesce(dist, 0)) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS along FROM motion),
-        b AS (SELECT *, CAST(floor((along - dist) / {d.f(SPACING_M)}) AS BIGINT) + 1 AS lo, CAST(floor(along / {d.f(SPACING_M)}) AS BIGINT) AS hi FROM c WHERE dist > 0),
-        e AS (SELECT *, {d.series("lo", "hi")} AS k FROM b WHERE hi >= lo)
-        SELECT trip_id, k, round(lat0 + (lat - lat0) * (k * {d.f(SPACING_M)} - (along - dist)) / dist, 5) AS lat, round(lon0 + (lon - lon0) * (k * {d.f(SPACING_M)} - (along - dist)) / dist, 5) AS lon FROM e"""
+    """Points at every multiple of the spacing along each trip's line, and its first and last vertex; a line has two vertices at least."""
+    own = "OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""WITH {v.motion(d)}, c AS (SELECT user_id, trip_id, seq, lat0, lon0, lat, lon, CASE WHEN seq > 0 THEN dist ELSE {d.f(0)} END AS dist, count(*) OVER (PARTITION BY user_id) AS n FROM motion),
+        s AS (SELECT *, sum(dist) {own} AS along FROM c WHERE n > 1), a AS (SELECT *, coalesce(lag(along) OVER (PARTITION BY user_id ORDER BY seq), {d.f(0)}) AS before FROM s),
+        b AS (SELECT *, CAST(floor(before / {d.f(SPACING_M)}) AS BIGINT) + 1 AS lo, CAST(floor(along / {d.f(SPACING_M)}) AS BIGINT) AS hi FROM a),
+        e AS (SELECT *, {d.series("lo", "hi")} AS k FROM b WHERE dist > 0 AND hi >= lo)
+        SELECT trip_id, k, round(lat0 + (lat - lat0) * (k * {d.f(SPACING_M)} - before) / dist, 5) AS lat, round(lon0 + (lon - lon0) * (k * {d.f(SPACING_M)} - before) / dist, 5) AS lon FROM e
+        UNION ALL SELECT trip_id, CAST(0 AS BIGINT), round(lat, 5), round(lon, 5) FROM a WHERE seq = 0
+        UNION ALL SELECT trip_id, hi + 1, round(lat, 5), round(lon, 5) FROM b WHERE seq = n - 1 AND hi * {d.f(SPACING_M)} < along"""
 
 
 @query
