@@ -131,3 +131,25 @@ def test_resampled_lines_have_a_point_every_35_m_and_both_ends(spark, tables):
     got = {(trip, k): (lat, lon) for trip, k, lat, lon in result(spark, folder, "polyline_resample")}
     assert got.keys() == want.keys()
     assert all(abs(x - y) < 6e-6 for k, p in want.items() for x, y in zip(p, got[k], strict=True))
+
+
+def test_times_outside_all_segments_get_the_nearest_one(spark, tables):
+    # segments of user 1: day 0 from 1 h to 2 h, day 1 from 1 h to 6 h, day 3 at 1 h; probes come an hour after each fix
+    fixes = [(1, 0, 3600), (1, 1, 7200), (1, 2, 86400 + 3600), (1, 3, 86400 + 21600), (1, 4, 3 * 86400 + 3600), (2, 5, 0), (2, 6, 86399), (2, 7, 86400 + 5400)]
+    folder = tables(events=events(fixes))
+    first, spans = (T0 - datetime.datetime(1970, 1, 1)).days, {}
+    for u, _, s in fixes:
+        spans.setdefault(u, {}).setdefault(s // 86400, []).append(s)
+    want = set()
+    for u, e, s in fixes:
+        own = [(min(x), max(x), day) for day, x in sorted(spans[u].items())]
+        inside = [k for k, (a, b, _) in enumerate(own) if a <= s + 3600 <= b]
+        k = inside[0] if inside else min(range(len(own)), key=lambda i: min(abs(s + 3600 - own[i][0]), abs(s + 3600 - own[i][1])))
+        want.add((e, k, ["walk", "bike", "car", "bus", "rail"][(u + first + own[k][2]) % 5]))
+    assert set(result(spark, folder, "mode_at_interval")) == want
+
+
+def test_a_tie_between_segments_goes_to_the_first(spark, tables):
+    # the probe of fix 0, at 23 h, is an hour after it and an hour before fix 1
+    folder = tables(events=events([(1, 0, 22 * 3600), (1, 1, 24 * 3600)]))
+    assert {(e, k) for e, k, _ in result(spark, folder, "mode_at_interval")} == {(0, 0), (1, 1)}

@@ -77,8 +77,11 @@ def asof_nearest_truth(d):
 def mode_at_interval(d):
     return f"""WITH {v.gps(d)}, {v.segments(d)}, p AS (SELECT g.event_id, g.user_id, g.us, g.us + 3600000000 AS probe FROM gps g),
         hit AS (SELECT p.event_id, min(s.segment_id) AS segment_id FROM p JOIN segments s ON s.user_id = p.user_id AND s.day BETWEEN CAST(floor(p.probe / {d.f(86400e6)}) AS BIGINT) - 1 AND CAST(floor(p.probe / {d.f(86400e6)}) AS BIGINT) AND p.probe BETWEEN s.start_us AND s.end_us GROUP BY p.event_id),
-        w AS (SELECT p.event_id, p.user_id, h.segment_id AS inside FROM p LEFT JOIN hit h ON h.event_id = p.event_id)
-        SELECT w.event_id, w.inside AS segment_id, s.mode FROM w LEFT JOIN segments s ON s.user_id = w.user_id AND s.segment_id = w.inside"""
+        w AS (SELECT p.event_id, p.user_id, p.probe, h.segment_id AS inside FROM p LEFT JOIN hit h ON h.event_id = p.event_id),
+        gap AS (SELECT w.event_id, s.segment_id, least(abs(w.probe - s.start_us), abs(w.probe - s.end_us)) AS gap_us FROM w JOIN segments s ON s.user_id = w.user_id WHERE w.inside IS NULL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY gap_us, segment_id) AS rn FROM gap),
+        found AS (SELECT w.event_id, w.user_id, coalesce(w.inside, r.segment_id) AS segment_id FROM w LEFT JOIN r ON r.event_id = w.event_id AND r.rn = 1)
+        SELECT f.event_id, f.segment_id, s.mode FROM found f LEFT JOIN segments s ON s.user_id = f.user_id AND s.segment_id = f.segment_id"""
 
 
 @query
