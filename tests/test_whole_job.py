@@ -8,6 +8,7 @@ import random
 import duckdb
 import pytest
 
+from trajkit.llm import topk
 from trajkit.plans import catalogue
 
 DAY = 86_400_000_000
@@ -153,3 +154,18 @@ def test_a_tie_between_segments_goes_to_the_first(spark, tables):
     # the probe of fix 0, at 23 h, is an hour after it and an hour before fix 1
     folder = tables(events=events([(1, 0, 22 * 3600), (1, 1, 24 * 3600)]))
     assert {(e, k) for e, k, _ in result(spark, folder, "mode_at_interval")} == {(0, 0), (1, 1)}
+
+
+def test_top_k_keeps_vectors_with_large_finite_components(spark):
+    rnd = random.Random(6)
+    rows = [(i, [rnd.uniform(-9, 9) for _ in range(3)]) for i in range(60)] + [(100, [3e6, 0.5, -1.0]), (101, [float(1 << 21), -2.0, 4.0]), (102, [-2.5e6, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    want = set()
+    for q in (7, 100):
+        best = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q)
+        want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best[:10], 1)}
+    assert {tuple(r) for r in topk.search(df, df.filter("vec_id IN (7, 100)"), n_pivots=4).collect()} == want
+    more = df.union(df.filter("vec_id = 100").selectExpr("vec_id + 100", "embedding"))
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk.search(more, more.filter("vec_id = 100")).collect()

@@ -15,8 +15,8 @@ rows; every row is indexed.  Queries are read in rounds of about ``ROUND_ROWS``
 executors, checked against ``ROUND_BYTES``; each index task returns at most k rows a query.
 
 Vectors that are null, or hold null or non-finite components, take no part, nor do those of
-another length than most have (the smallest such length on a tie), nor components beyond 2^31 once
-quantised.  Rows with the query's own id are not its candidates.  Query rows that agree in id and
+another length than most have (the smallest such length on a tie).  Components are packed in 32 bits,
+or in 64 where one needs it; a component or a score beyond 64 bits raises an error.  Rows with the query's own id are not its candidates.  Query rows that agree in id and
 vector are answered once; candidate rows count as often as they occur.
 """
 
@@ -42,8 +42,9 @@ INDEX = "shard int, pivot int, n int, near double, far double, dist binary, ids
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
     """``vec_id`` and ``vec array<long>`` of the rows that take part."""
-    ok = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) * scale < float(1 << 31)))
-    vec = F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("long"))
+    ok = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    beyond = F.raise_error(F.lit("components go beyond 64 bits")).cast("long")
+    vec = F.transform("v", lambda x: F.when(F.abs(x) * scale < float(1 << 63), F.floor(F.lit(scale) * x).cast("long")).otherwise(beyond))
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     return rows.filter(F.col("vec_id").isNotNull() & ok).select("vec_id", vec.alias("vec"))
 
@@ -52,13 +53,16 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def exact_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer products of all rows of a with all of b; in doubles only where these are exact."""
+def exact_product(a: np.ndarray, b: np.ndarray, skip: np.ndarray) -> np.ndarray:
+    """Integer products of all rows of a with all of b; in doubles only where these are exact. Those of ``skip`` are no scores and may be anything."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < 2**53:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     if most >= 2**63:
-        raise OverflowError("scores go beyond 64 bits")
+        full = np.where(skip, 0, a.astype(object) @ b.astype(object).T)
+        if any(not -(2**63) < s < 2**63 for s in full.ravel()):
+            raise OverflowError("scores go beyond 64 bits")
+        return full.astype(np.int64)
     return a @ b.T
 
 
@@ -80,8 +84,9 @@ def pivot_distances(x: np.ndarray, lift: np.ndarray, pivots: np.ndarray, pivot_l
     return np.sqrt(np.maximum((both**2).sum(1)[:, None] + (p**2).sum(1) - 2 * both @ p.T, 0))
 
 
-def build_index(vectors: DataFrame, dim: int, big: float, pivots: np.ndarray) -> DataFrame:
-    """Blocks of the index, as a written table."""
+def build_index(vectors: DataFrame, dim: int, big: float, pivots: np.ndarray, wide: bool) -> DataFrame:
+    """Blocks of the index, as a written table; components take 64 bits if ``wide``, else 32."""
+    kind = "<i8" if wide else "<i4"
     pivot_lift = np.sqrt(np.maximum(big - (pivots**2).sum(1), 0))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +98,7 @@ def build_index(vectors: DataFrame, dim: int, big: float, pivots: np.ndarray) ->
             d = pivot_distances(x, lift, pivots, pivot_lift)
             near = d.argmin(1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near]), pa.array([r.tobytes() for r in x.astype("<i4")], pa.binary())],
+                [batch.column("vec_id"), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near]), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())],
                 ["vec_id", "pivot", "dist", "packed"],
             )
 
@@ -187,14 +192,15 @@ def search_blocks(batches: Iterator[pa.RecordBatch], ids: np.ndarray, q: np.ndar
     def ring(x: np.ndarray, own: np.ndarray, a: int, b: int, rows: np.ndarray) -> None:
         if count is not None:
             count[0] += len(rows) * (b - a)
-        scores = exact_product(q[rows], x[a:b])
-        scores[ids[rows][:, None] == own[a:b]] = np.iinfo(np.int64).min
+        same = ids[rows][:, None] == own[a:b]
+        scores = exact_product(q[rows], x[a:b], same)
+        scores[same] = np.iinfo(np.int64).min
         best.add(rows, scores, own[a:b])
 
     for batch in batches:
         for pivot, n, dist, own, packed in zip(*(batch.column(c).to_pylist() for c in ("pivot", "n", "dist", "ids", "vectors")), strict=True):
             d, own = np.frombuffer(dist), np.frombuffer(own, np.int64)
-            x = np.frombuffer(packed, "<i4").reshape(n, dim).astype(np.int64)
+            x = np.frombuffer(packed, "<i8" if len(packed) == 8 * n * dim else "<i4").reshape(n, dim).astype(np.int64)
             if count is not None:
                 count[1] += len(q) * n
             edges = [*range(0, n, RING), n]
@@ -223,10 +229,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
         return spark.createDataFrame([], schema)
     dim = common["d"]
     base = base.filter(F.size("vec") == dim)
-    big = float(base.select(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()[0])
+    norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    big, low, high = base.select(F.max(norm), F.min(F.array_min("vec")), F.max(F.array_max("vec"))).first()
     pivots = fit_pivots(base, dim, n_pivots, SAMPLE)
     big = max(big, float((pivots**2).sum(1).max()))
-    index = build_index(base, dim, big, pivots)
+    index = build_index(base, dim, big, pivots, low < -(1 << 31) or high >= 1 << 31)
     asked = quantised(queries, id_col, vec_col, scale).filter(F.size("vec") == dim).dropDuplicates(["vec_id", "vec"])
     asked = written(asked.select(F.col("vec_id").alias("query_id"), "vec"), "topk-queries")
     n_rounds = -(-asked.count() // max(1, min(ROUND_ROWS, ROUND_BYTES // (dim * 24))))
