@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 _own_dirs: dict[str, str] = {}
@@ -18,10 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a private one only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset, a private folder of this machine on a local master; an error on a cluster,
+    whose executors would not see each other's files there.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="trajkit-scratch-")
@@ -29,8 +36,29 @@ def scratch_dir(spark: SparkSession) -> str:
     return "file://" + _own_dirs[app]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that holds all this application writes; ``clean`` removes it."""
+    return f"{scratch_dir(spark)}/trajkit-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> bool:
+    """Remove what this application wrote to the shared folder, once no result that reads it is needed any more."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+#: Most rows of a table of two numbers that is sent to all executors: some 32 MB.
+SENT_ROWS = 1_000_000
+
+
+def sent_if_small(rows: DataFrame, most: int = SENT_ROWS) -> DataFrame:
+    """``rows`` (of a written table), marked to be sent to all executors where counting finds at most ``most`` of them."""
+    return F.broadcast(rows) if rows.count() <= most else rows
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
