@@ -77,10 +77,59 @@ def test_nulls_repeats_and_empty(spark):
     assert sorted(str(r.doc_id) for r in neardup.drop_near_duplicates(df, 2).collect()) == ["3", "3", "9", "None", "None"]
 
 
-def test_components_of_paths_and_stars(spark):
-    edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(200, 240)] + [(300, 299), (299, 301)]
-    got = {r.node: r.comp for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 5 for i in [5, *range(200, 240)]}, 299: 299, 300: 299, 301: 299}
+def templated(n, seed=3):
+    """Texts that share a template of 60 words and have 12 words of their own: no two link."""
+    rnd = random.Random(seed)
+    return [(i, " ".join([f"t{j}" for j in range(60)] + [f"u{rnd.randrange(10**9)}" for _ in range(12)])) for i in range(n)]
+
+
+def test_a_shared_template_gives_few_pairs(spark, monkeypatch):
+    tested, own = [], neardup.confirmed
+    monkeypatch.setattr(neardup, "confirmed", lambda docs, pairs, *a: (tested.append(pairs.count()), own(docs, pairs, *a))[1])
+    for n in (500, 2000, 8000):
+        tested.clear()
+        df = spark.createDataFrame(templated(n), "doc_id long, text string")
+        assert neardup.near_duplicates(df, width=2).filter("kept").count() == n
+        # each bucket of the template pairs a class with the first of its group; nothing else is tested
+        assert sum(tested) <= n * neardup.BANDS, (n, tested)
+
+
+def test_template_with_links_and_a_large_group(spark):
+    """Texts of one template, a few of which link, beside 300 copies that differ in a word each."""
+    rnd = random.Random(8)
+    rows = templated(250)
+    for i in range(250, 290):
+        w = rows[rnd.randrange(250)][1].split()
+        w[rnd.randrange(60, 72)] = f"v{i}"
+        rows.append((i, " ".join(w)))
+    base = [f"g{j}" for j in range(100)]
+    for i in range(290, 590):
+        w = base[:]
+        w[rnd.randrange(100)] = f"w{i}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {tuple(r) for r in neardup.near_duplicates(df, width=2).collect()}
+    want = brute(rows, 2, 80)
+    assert got == want, sorted(got ^ want)[:10]
+
+
+def test_prefix_keeps_all_links(spark):
+    """Every pair that reaches the threshold is among the pairs of rare shingles, whatever its signatures say."""
+    rows = [(i, t) for i, t in corpus() if t]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = neardup.full_sets(docs, docs.select("doc_id"), 2).filter("size(set) > 0").selectExpr("doc_id AS rep", "doc_id AS comp", "set")
+    sigs = neardup.features(docs, 2).selectExpr("doc_id AS rep", "sig")
+    got = {tuple(r) for r in neardup.rare_pairs(sets, sigs, 80, -1.0).collect()}
+    held = [(r.rep, set(r.set)) for r in sets.collect()]
+    want = {(min(i, j), max(i, j)) for k, (i, x) in enumerate(held) for j, y in held[k + 1 :] if 100 * len(x & y) >= 80 * len(x | y)}
+    assert want and want <= got
+
+
+def test_one_id_with_several_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(5, a), (5, b), (2, a + " x"), (3, b + " y"), (9, "else where")], "doc_id long, text string")
+    got = sorted(tuple(r) for r in neardup.near_duplicates(df, width=2).collect())
+    assert got == [(2, 30, 2, True), (3, 40, 2, False), (5, 29, 2, False), (5, 39, 2, False), (9, 1, 9, True)]
 
 
 def test_estimate_is_close(spark):

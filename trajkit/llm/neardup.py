@@ -4,26 +4,31 @@
    of the set, ``BANDS`` band keys of ``ROWS`` minima each, and a signature of the low ``BITS`` bits of all
    minima packed into longs.  Documents with equal sets become one class; only its smallest doc_id
    goes on.
-2. In each band bucket every class is paired with the bucket's smallest one.  The packed signatures'
-   bit counts estimate the similarity, corrected for chance collisions; pairs far below the
-   threshold go no further, the others are confirmed on their full sets.  Confirmed links give a
-   first set of components.
-3. In buckets that still hold two or more components, a class is tested on full sets against all
-   members of each other component, in blocks of bounded size that return one link at most; classes
-   without any link are paired with each other by estimate and then on full sets.  So every pair
-   that shares a bucket is in one component or was tested itself, and a group of copies costs links
-   in proportion to its size.
+2. Each band bucket's classes are dealt by a hash into a tree of groups of about ``FAN``, and each
+   class is paired with its group's smallest one only, so no class has more pairs than groups it
+   leads times ``FAN``, however large the bucket.  The packed signatures' bit counts estimate the
+   similarity, corrected for chance collisions; pairs far below the threshold go no further, the
+   others are confirmed on their full sets.  Confirmed links give a first set of components.
+3. In buckets that still hold two or more components every class is open.  Two open classes of
+   different components can only link if they share a shingle among the rarest ones of both (the
+   prefix bound of set-similarity joins, with rarity counted among the open classes), at places that
+   leave enough shingles behind them.  Such pairs go through the estimate and the confirmation as
+   before.  So every pair that shares a bucket is in one component, was tested, or cannot reach the
+   threshold; texts that share a template, but no rare shingle, are never paired at all.
 4. Components are contracted by smallest neighbour until no link joins two.
 
 With 32 bands of 4 rows a pair of similarity 0.8 shares no bucket with probability 5e-8, and the
-estimate's margin is six standard deviations.  A skewed bucket or fingerprint meets only plain
-joins (which Spark can split) and aggregations with partial results.
-
-Words are runs of bytes other than space and 0x09-0x0D, with A-Z in lower case.  A document with
-fewer words than a shingle has one shingle, its whole sequence; a null text or one without words
-has an empty set and links with nothing.  Rows with null doc_id take no part in links: their
-component is null and they are kept.  Repeated rows give repeated results.  Other columns are left
-out.
+estimate's margin is six standard deviations.  Keys that many rows share (a rare shingle of a large
+group, a class with many pairs) are dealt into blocks of about ``BLOCK`` before they are joined.
+Left with many pairs: classes made only of shingles that many open classes of other components share.
+
+Words are runs of bytes other than space and 0x09-0x0D, with A-Z in lower case.  Shingles are
+compared by 64-bit hashes.  A document with fewer words than a shingle has one shingle, its whole
+sequence; a null text or one without words has an empty set and links with nothing.  Very long
+texts are read whole.  Rows with null doc_id take no part in links: their component is null and
+they are kept.  Repeated rows give repeated results; rows of one doc_id with different texts are
+one document in links (it links where any of its texts does), each with its own n_shingles.  An
+empty table gives an empty result.  Other columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,13 +42,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajkit.llm.blocks import blocks, flat, key_list, segments
-from trajkit.session import written
+from trajkit.operators.graph import connected_components
+from trajkit.session import sent_if_small, written
 
 BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 LONGS = MINIMA * BITS // 64
-SMALL = 1_000_000
-BLOCK = 512
+FAN, BLOCK = 64, 512
+#: Cells of the table of shingle counts that is sent to all executors: 2 MB at any size of the input.
+CELLS = 1 << 18
 _FACTORS = np.random.default_rng(97).integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BREAK = np.zeros(256, bool)
 _BREAK[[9, 10, 11, 12, 13, 32]] = True
@@ -143,12 +150,6 @@ def estimate(a: Column, b: Column) -> Column:
     return (1 - differ / float(MINIMA) - chance) / (1 - chance)
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows with (or for left_anti without) a doc_id of ``ids``; these are sent to all where they are few."""
-    n = ids.count()
-    return docs.join(F.broadcast(ids) if n <= SMALL else ids, "doc_id", how)
-
-
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """``doc_id, set array<long>`` of the documents of ``ids``, as a written table."""
 
@@ -157,72 +158,111 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             h, at = shingles(block.column("text"), width)
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))], ["doc_id", "set"])
 
-    return written(_only(docs, ids).mapInArrow(run, "doc_id long, set array<long>").dropDuplicates(["doc_id", "set"]), "neardup-sets")
+    few = docs.join(sent_if_small(ids), "doc_id", "left_semi")
+    return written(few.mapInArrow(run, "doc_id long, set array<long>").dropDuplicates(["doc_id", "set"]), "neardup-sets")
+
+
+def each_part(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def part_of(key: str, n: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold, as a written table."""
-    sets = full_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), width)
-    left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
-    both = left.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
+    """The pairs (a, b) whose full sets reach the threshold, as a written table; a document's pairs are dealt into blocks."""
+    ends = pairs.select("a").union(pairs.select("b")).groupBy(F.col("a").alias("doc_id")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    ends = written(ends, "neardup-ends")
+    sets = full_sets(docs, ends.select("doc_id"), width)
+    hot = sent_if_small(written(ends.filter("n > 1"), "neardup-hot"))
+    dealt = pairs
+    for x, y in ("ab", "ba"):
+        dealt = dealt.join(hot.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}")), x, "left")
+        dealt = dealt.withColumn(f"part_{x}", F.coalesce(part_of(y, f"n_{x}"), F.lit(0))).drop(f"n_{x}")
+    held = sets.join(hot, "doc_id", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("part", each_part("n"))
+    for x in "ba":
+        dealt = dealt.join(held.select(F.col("doc_id").alias(x), F.col("part").alias(f"part_{x}"), F.col("set").alias(f"set_{x}")), [x, f"part_{x}"])
     common = F.size(F.array_intersect("set_a", "set_b"))
     linked = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
-    return written(both.filter(linked).select("a", "b").distinct(), "neardup-links")
+    return written(dealt.filter(linked).select("a", "b").distinct(), "neardup-links")
+
+
+def led(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each row of ``band, rep, n`` (n: rows of its bucket) with the smallest rep of its group in a tree of groups of about ``FAN``."""
+    level = F.greatest(F.ceil(F.log(F.col("n") / FAN) / math.log(FAN) - 1e-9), F.lit(0)).cast("int")
+    members = members.select("band", "rep", level.alias("level"))
+    top = members.agg(F.max("level")).first()[0] or 0
+    pairs = leaders = None
+    for k in range(top, -1, -1):
+        own = members.filter(F.col("level") == k).select("band", "rep")
+        own = own if leaders is None else own.union(leaders)
+        groups = own.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(FAN**k)).alias("part")).agg(F.min("rep").alias("lead"), F.collect_list("rep").alias("reps"))
+        groups = written(groups, "neardup-groups") if top else groups
+        found = groups.select(F.col("lead").alias("a"), F.explode("reps").alias("b")).filter("a <> b")
+        pairs = found if pairs is None else pairs.union(found)
+        leaders = groups.select("band", F.col("lead").alias("rep"))
+    return pairs.distinct()
+
+
+def rarity(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur in the sets, by the cell that a shingle's low bits name; any such table gives a valid order."""
+
+    def run(batches):
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            own = batch.column("set").flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(own & (CELLS - 1), minlength=CELLS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
+
+    found = sets.select("set").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(CELLS, np.int64)
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return out
 
 
-def links_to_groups(docs: DataFrame, against: DataFrame, comps: DataFrame, width: int, percent: int) -> DataFrame:
-    """For rows (rep, group) one link (a, b) of rep with a member of the group, where it has any; a written table.
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """``rep, comp, token, size, pos, indexed``: of each set (``rep, comp, set``) the rarest shingles that a link must share.
 
-    Members and rows are dealt into blocks of about ``BLOCK``, and every block of rows meets every block
-    of members of its group, so no task holds a whole group.
+    A larger set must share one of its ``size - ceil(t size) + 1`` rarest with one of the smaller set's
+    ``size - ceil(2 t / (1 + t) size) + 1`` rarest (``indexed``), t being the threshold, whatever the order.
     """
-    members = comps.join(against.select(F.col("group").alias("comp")).distinct(), "comp").select(F.col("comp").alias("group"), F.col("node").alias("rep"))
-    blocks_of = lambda df, name: df.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
-    deal = written(blocks_of(against, "nx").join(blocks_of(members, "ny"), "group"), "neardup-deal")
-    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    rows = against.join(deal, "group").select("group", part("nx").alias("xb"), each("ny").alias("yb"), F.lit(True).alias("asks"), "rep")
-    rows = rows.unionByName(members.join(deal, "group").select("group", each("nx").alias("xb"), part("ny").alias("yb"), F.lit(False).alias("asks"), "rep"))
-    ids = against.select("rep").union(members.select("rep")).distinct().withColumnRenamed("rep", "doc_id")
-    sets = full_sets(docs, ids, width)
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        asks = table.column("asks").to_numpy()
-        rep, own = table.column("rep").to_numpy(), table.column("set").combine_chunks()
-        off, values = own.offsets.to_numpy().astype(np.int64), own.values.to_numpy()
-        found = []
-        y = np.flatnonzero(~asks)
-        size = np.diff(off)
-        row = np.repeat(np.arange(len(y)), size[y])
-        held = np.concatenate([values[off[i] : off[i + 1]] for i in y]) if len(y) else np.zeros(0, np.int64)
-        for i in np.flatnonzero(asks):
-            mine = np.sort(values[off[i] : off[i + 1]])
-            at = np.minimum(np.searchsorted(mine, held), len(mine) - 1)
-            common = np.bincount(row[mine[at] == held], minlength=len(y))
-            hit = np.flatnonzero((100 * common >= percent * (len(mine) + size[y] - common)) & (rep[y] != rep[i]))
-            if len(hit):
-                found.append((int(rep[i]), int(rep[y[hit[0]]])))
-        return pa.table({"a": pa.array([min(f) for f in found], pa.int64()), "b": pa.array([max(f) for f in found], pa.int64())})
-
-    full = rows.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    return written(full.groupBy("group", "xb", "yb").applyInArrow(run, "a long, b long"), "neardup-more")
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``node, comp``: the smallest node that each node of the links (a, b) reaches; a written table."""
-    links = written(links.filter("a <> b"), "neardup-edges")
-    nodes = written(links.select(F.col("a").alias("node")).union(links.select("b")).distinct().select("node", F.col("node").alias("comp")), "neardup-nodes")
-    while not links.isEmpty():
-        both = links.union(links.select("b", "a"))
-        up = both.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m")).select("x", F.least("x", "m").alias("p"))
-        up = written(up, "neardup-up")
-        for _ in range(2):  # follow the pointers, four steps in all
-            nxt = up.select(F.col("x").alias("p"), F.col("p").alias("q"))
-            up = written(up.join(nxt, "p", "left").select("x", F.coalesce("q", "p").alias("p")), "neardup-up")
-        nodes = written(nodes.join(up.select(F.col("x").alias("comp"), "p"), "comp", "left").select("node", F.coalesce("p", "comp").alias("comp")), "neardup-nodes")
-        ends = links.join(up.select(F.col("x").alias("a"), F.col("p").alias("pa")), "a").join(up.select(F.col("x").alias("b"), F.col("p").alias("pb")), "b")
-        links = written(ends.filter("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "neardup-edges")
-    return nodes
+    sent = sets.sparkSession.sparkContext.broadcast(rarity(sets))
+
+    def run(batches):
+        for batch in batches:
+            own = batch.column("set")
+            off = own.offsets.to_numpy().astype(np.int64)
+            values = own.values.to_numpy(zero_copy_only=False)[off[0] : off[-1]]
+            size = np.diff(off)
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((values, sent.value[values & (CELLS - 1)], row))
+            pos = np.arange(len(values)) - np.repeat(off[:-1] - off[0], size)
+            probe, index = size - -(-percent * size // 100) + 1, size - -(-2 * percent * size // (100 + percent)) + 1
+            keep = pos < probe[row]
+            at = row[keep]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep").take(pa.array(at)), batch.column("comp").take(pa.array(at)), pa.array(values[order][keep]), pa.array(size[at].astype(np.int32)), pa.array(pos[keep].astype(np.int32)), pa.array((pos < index[row])[keep])],
+                ["rep", "comp", "token", "size", "pos", "indexed"],
+            )
+
+    return sets.mapInArrow(run, "rep long, comp long, token long, size int, pos int, indexed boolean")
+
+
+def rare_pairs(sets: DataFrame, sigs: DataFrame, percent: int, least: float) -> DataFrame:
+    """Pairs (a, b) of different components that may link by their rarest shingles and by their signatures."""
+    rows = written(prefixes(sets, percent), "neardup-prefixes")
+    tokens = rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    rows = rows.join(tokens.select("token", "n"), "token").join(sigs, "rep")
+    rows = written(rows.select("token", "n", "rep", "comp", "size", "pos", "indexed", "sig"), "neardup-shared")
+    mine = F.struct("rep", "comp", "size", "pos", "sig")
+    x = rows.select("token", part_of("rep", "n").alias("px"), each_part("n").alias("py"), mine.alias("x"))
+    y = rows.filter("indexed").select("token", each_part("n").alias("px"), part_of("rep", "n").alias("py"), mine.alias("y"))
+    smaller = "y.comp <> x.comp AND (y.size < x.size OR y.size = x.size AND y.rep < x.rep)"
+    enough = f"100 * y.size >= {percent} * x.size AND {100 + percent} * least(x.size - x.pos, y.size - y.pos) >= {percent} * (x.size + y.size)"
+    pairs = x.join(y, ["token", "px", "py"]).filter(f"{smaller} AND {enough}").filter(estimate(F.col("x.sig"), F.col("y.sig")) >= least)
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).filter("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,36 +276,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     least = percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / MINIMA) - 2.0 ** (1 - BITS) / 10
 
     banded = reps.select("rep", F.explode("bands").alias("band"))
-    shared = written(banded.groupBy("band").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).filter("first <> last").select("band", "first"), "neardup-buckets")
+    shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("band", "n")
     members = written(banded.join(shared, "band"), "neardup-members")
-    star = members.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     sig_of = lambda name: reps.select(F.col("rep").alias(name), F.col("sig").alias(f"sig_{name}"))
-    near = star.join(sig_of("b"), "b").join(sig_of("a"), "a").filter(estimate(F.col("sig_a"), F.col("sig_b")) >= least).select("a", "b")
-    links = confirmed(docs, written(near, "neardup-pairs"), width, percent)
-    comps = components(links)
-
-    # buckets that the first links left in several components
-    placed = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = placed.select("band", "rep", F.coalesce("comp", "rep").alias("comp"), F.col("comp").isNull().alias("single"), "first")
-    placed = written(placed, "neardup-placed")
-    main = placed.filter("rep = first").select("band", F.col("comp").alias("main")).dropDuplicates(["band"])
+    near = led(members).join(sig_of("b"), "b").join(sig_of("a"), "a").filter(estimate(F.col("sig_a"), F.col("sig_b")) >= least).select("a", "b").distinct()
+    near = written(near, "neardup-pairs")
+    links = confirmed(docs, near, width, percent)
+    comps = connected_components(links, "a", "b")
+
+    # classes of the buckets that the first links left in several components
+    comp = F.coalesce("component", "rep").alias("comp")
+    placed = written(members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", comp), "neardup-placed")
     split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    open_rows = written(placed.join(split.join(main, "band"), "band").select("band", "rep", "comp", "single", "main"), "neardup-open")
-    # single classes and smaller components with each other component of their buckets
-    groups = open_rows.filter("NOT single").select("band", F.col("comp").alias("group")).distinct()
-    turned = F.col("single") | ((F.col("comp") != F.col("main")) & ((F.col("group") == F.col("main")) | (F.col("comp") < F.col("group"))))
-    against = open_rows.join(groups, "band").filter((F.col("comp") != F.col("group")) & turned).select("rep", "group").distinct()
-    more = links_to_groups(docs, written(against, "neardup-against"), comps, width, percent)
-    # single classes with each other, each pair in the first bucket that it shares
-    ones = open_rows.filter("single").select("band", "rep").join(reps, "rep")
-    x, y = (ones.select("band", F.col("rep").alias(n), F.col("sig").alias(f"sig_{n}"), F.col("bands").alias(f"bands_{n}")) for n in "ab")
-    once = F.element_at(F.filter(F.zip_with("bands_a", "bands_b", lambda p, q: F.when(p == q, p)), lambda v: v.isNotNull()), 1) == x["band"]
-    rest = x.join(y, (x["band"] == y["band"]) & (F.col("a") < F.col("b")) & (estimate(F.col("sig_a"), F.col("sig_b")) >= least) & once).select("a", "b")
-    rest = written(rest.join(near, ["a", "b"], "left_anti"), "neardup-rest")
-    if not rest.isEmpty():
-        more = more.unionByName(confirmed(docs, rest, width, percent))
-    if not more.isEmpty():
-        comps = components(links.unionByName(more))
+    waiting = written(placed.join(split, "band", "left_semi").select("rep", "comp").distinct(), "neardup-open")
+    if not waiting.isEmpty():
+        sets = full_sets(docs, waiting.select(F.col("rep").alias("doc_id")), width).withColumnRenamed("doc_id", "rep")
+        sets = written(sets.join(waiting, "rep").select("rep", "comp", "set"), "neardup-opensets")
+        rest = rare_pairs(sets, reps.select("rep", "sig"), percent, least).join(near, ["a", "b"], "left_anti")
+        more = confirmed(docs, written(rest, "neardup-rest"), width, percent)
+        if not more.isEmpty():
+            comps = connected_components(links.unionByName(more), "a", "b")
+    comps = comps.withColumnRenamed("component", "comp")
 
     out = feats.select("doc_id", *key).join(classes, key, "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "rep", "doc_id"))
@@ -276,4 +307,4 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     """``docs`` with the smallest doc_id of each group only; of rows that repeat a doc_id all stay."""
     found = near_duplicates(docs, width, percent)
     gone = written(found.filter("NOT kept").select("doc_id").distinct(), "neardup-gone")
-    return _only(docs, gone, "left_anti").select(*docs.columns)
+    return docs.join(sent_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
