@@ -4,11 +4,11 @@
    of the set, ``BANDS`` band keys of ``ROWS`` minima each, and a signature of the low ``BITS`` bits of all
    minima packed into longs.  Documents with equal sets become one class; only its smallest doc_id
    goes on.
-2. Each band bucket's classes are dealt by a hash into a tree of groups of about ``FAN``, and each
-   class is paired with its group's smallest one only, so no class has more pairs than groups it
-   leads times ``FAN``, however large the bucket.  The packed signatures' bit counts estimate the
-   similarity, corrected for chance collisions; pairs far below the threshold go no further, the
-   others are confirmed on their full sets.  Confirmed links give a first set of components.
+2. In each band bucket every class is paired with the bucket's centre, the class that shares buckets
+   with the most others (copies of one text link with that text rather than with each other).  The
+   packed signatures' bit counts estimate the similarity, corrected for chance collisions; pairs far
+   below the threshold go no further, the others are confirmed on their full sets.  Confirmed links
+   give a first set of components.
 3. In buckets that still hold two or more components every class is open.  Two open classes of
    different components can only link if they share a shingle among the rarest ones of both (the
    prefix bound of set-similarity joins, with rarity counted among the open classes), at places that
@@ -18,8 +18,8 @@
 4. Components are contracted by smallest neighbour until no link joins two.
 
 With 32 bands of 4 rows a pair of similarity 0.8 shares no bucket with probability 5e-8, and the
-estimate's margin is six standard deviations.  Keys that many rows share (a rare shingle of a large
-group, a class with many pairs) are dealt into blocks of about ``BLOCK`` before they are joined.
+estimate's margin is six standard deviations.  Keys that many rows share (a centre and other classes
+with many pairs, a rare shingle of a large group) are dealt into blocks of about ``BLOCK``.
 Left with many pairs: classes made only of shingles that many open classes of other components share.
 
 Words are runs of bytes other than space and 0x09-0x0D, with A-Z in lower case.  Shingles are
@@ -34,6 +34,7 @@ empty table gives an empty result.  Other columns are left out, whatever their n
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ from trajkit.session import sent_if_small, written
 BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 LONGS = MINIMA * BITS // 64
-FAN, BLOCK = 64, 512
+BLOCK = 512
 #: Cells of the table of shingle counts that is sent to all executors: 2 MB at any size of the input.
 CELLS = 1 << 18
 _FACTORS = np.random.default_rng(97).integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -170,39 +171,47 @@ def part_of(key: str, n: str) -> Column:
     return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
 
 
+class Dealt:
+    """Pairs (a, b) whose ends are dealt into parts, at most about ``BLOCK`` pairs each, to be joined with rows of doc_ids."""
+
+    def __init__(self, pairs: DataFrame):
+        ends = pairs.select("a").union(pairs.select("b")).groupBy(F.col("a").alias("doc_id")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+        self.ends = written(ends, "neardup-ends")
+        self.hot = sent_if_small(written(self.ends.filter("n > 1"), "neardup-hot"))
+        for x, y in ("ab", "ba"):
+            pairs = pairs.join(self.hot.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}")), x, "left")
+            pairs = pairs.withColumn(f"part_{x}", F.coalesce(part_of(y, f"n_{x}"), F.lit(0))).drop(f"n_{x}")
+        self.pairs = pairs
+
+    def join(self, rows: DataFrame, value: str) -> DataFrame:
+        """The pairs with the value of both ends, from rows of doc_id and value."""
+        held, out = rows.join(self.hot, "doc_id", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1))), self.pairs
+        for x in "ba":
+            out = out.join(held.select(F.col("doc_id").alias(x), F.col("part").alias(f"part_{x}"), F.col(value).alias(f"{value}_{x}")), [x, f"part_{x}"])
+        return out
+
+
+def likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose signatures' estimate is ``least`` or more, as a written table."""
+    both = Dealt(written(pairs, "neardup-star")).join(sigs.select(F.col("rep").alias("doc_id"), "sig"), "sig")
+    return written(both.filter(estimate(F.col("sig_a"), F.col("sig_b")) >= least).select("a", "b").distinct(), "neardup-pairs")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold, as a written table; a document's pairs are dealt into blocks."""
-    ends = pairs.select("a").union(pairs.select("b")).groupBy(F.col("a").alias("doc_id")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    ends = written(ends, "neardup-ends")
-    sets = full_sets(docs, ends.select("doc_id"), width)
-    hot = sent_if_small(written(ends.filter("n > 1"), "neardup-hot"))
-    dealt = pairs
-    for x, y in ("ab", "ba"):
-        dealt = dealt.join(hot.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}")), x, "left")
-        dealt = dealt.withColumn(f"part_{x}", F.coalesce(part_of(y, f"n_{x}"), F.lit(0))).drop(f"n_{x}")
-    held = sets.join(hot, "doc_id", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("part", each_part("n"))
-    for x in "ba":
-        dealt = dealt.join(held.select(F.col("doc_id").alias(x), F.col("part").alias(f"part_{x}"), F.col("set").alias(f"set_{x}")), [x, f"part_{x}"])
+    """The pairs (a, b) of a written table whose full sets reach the threshold, as a written table."""
+    dealt = Dealt(pairs)
+    both = dealt.join(full_sets(docs, dealt.ends.select("doc_id"), width), "set")
     common = F.size(F.array_intersect("set_a", "set_b"))
     linked = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
-    return written(dealt.filter(linked).select("a", "b").distinct(), "neardup-links")
-
-
-def led(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each row of ``band, rep, n`` (n: rows of its bucket) with the smallest rep of its group in a tree of groups of about ``FAN``."""
-    level = F.greatest(F.ceil(F.log(F.col("n") / FAN) / math.log(FAN) - 1e-9), F.lit(0)).cast("int")
-    members = members.select("band", "rep", level.alias("level"))
-    top = members.agg(F.max("level")).first()[0] or 0
-    pairs = leaders = None
-    for k in range(top, -1, -1):
-        own = members.filter(F.col("level") == k).select("band", "rep")
-        own = own if leaders is None else own.union(leaders)
-        groups = own.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(FAN**k)).alias("part")).agg(F.min("rep").alias("lead"), F.collect_list("rep").alias("reps"))
-        groups = written(groups, "neardup-groups") if top else groups
-        found = groups.select(F.col("lead").alias("a"), F.explode("reps").alias("b")).filter("a <> b")
-        pairs = found if pairs is None else pairs.union(found)
-        leaders = groups.select("band", F.col("lead").alias("rep"))
-    return pairs.distinct()
+    return written(both.filter(linked).select("a", "b").distinct(), "neardup-links")
+
+
+def centred(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each row of ``band, rep, n`` (n: rows of its bucket) with its bucket's centre."""
+    weight = members.groupBy("rep").agg(F.sum("n").alias("w"))
+    centre = members.join(weight, "rep").groupBy("band").agg(F.max(F.struct("w", (-F.col("rep")).alias("back"))).alias("c")).select("band", (-F.col("c.back")).alias("centre"))
+    both = members.join(centre, "band").filter("rep <> centre")
+    return both.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
 def rarity(sets: DataFrame) -> np.ndarray:
@@ -250,19 +259,92 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return sets.mapInArrow(run, "rep long, comp long, token long, size int, pos int, indexed boolean")
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many minima's low bits the packed signatures differ, row by row."""
+    x = a ^ b
+    s = 1
+    while s < BITS:
+        x = x | (x >> np.uint64(s))
+        s *= 2
+    ones = np.uint64(int(("0" * (BITS - 1) + "1") * (64 // BITS), 2))
+    return np.bitwise_count(x & ones).sum(1)
+
+
+class Cells:
+    """Rows in the order of their cells, in each cell first those that are found, by component, then those that ask."""
+
+    def __init__(self, rows: pa.Table, percent: int, least: float):
+        self.rows, self.percent = rows, percent
+        self.most = math.floor(MINIMA * (1 - least - (1 - least) * 2.0**-BITS) + 1e-9)
+        col = lambda n: rows.column(n).to_numpy()
+        keys = np.stack([col("token"), col("px").astype(np.int64), col("py").astype(np.int64)])
+        self.cell = np.cumsum(np.append(0, (keys[:, 1:] != keys[:, :-1]).any(0)))
+        self.rep, self.comp, self.size, self.pos, self.asks = col("rep"), col("comp"), col("size").astype(np.int64), col("pos").astype(np.int64), col("asks")
+        self.sig = rows.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, LONGS)
+
+    def pairs(self, at_once: int = 1 << 20) -> Iterator[np.ndarray]:
+        """Pairs of rows of one cell, one that asks and one that is found, of different components, that may link."""
+        y, x = np.flatnonzero(~self.asks), np.flatnonzero(self.asks)
+        if not len(x) or not len(y):
+            return
+        names, code = np.unique(self.comp, return_inverse=True)
+        key = self.cell * len(names) + code
+        lo, hi = np.searchsorted(key[y], key[x], "left"), np.searchsorted(key[y], key[x], "right")
+        first, last = np.searchsorted(self.cell[y], self.cell[x], "left"), np.searchsorted(self.cell[y], self.cell[x], "right")
+        count = last - first - (hi - lo)
+        ends = np.cumsum(count)
+        a = 0
+        while a < len(x):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] - count[a] + at_once, "right")))
+            n = count[a:b]
+            i = np.repeat(np.arange(a, b), n)
+            j = first[i] + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+            j += np.where(j >= lo[i], hi[i] - lo[i], 0)  # passes over the row's own component
+            p, q = x[i], y[j]
+            sp, sq = self.size[p], self.size[q]
+            ok = (sq < sp) | ((sq == sp) & (self.rep[q] < self.rep[p]))
+            ok &= 100 * sq >= self.percent * sp
+            ok &= (100 + self.percent) * np.minimum(sp - self.pos[p], sq - self.pos[q]) >= self.percent * (sp + sq)
+            p, q = p[ok], q[ok]
+            near = differing(self.sig[p], self.sig[q]) <= self.most
+            found = np.stack([self.rep[p[near]], self.rep[q[near]]])
+            yield np.unique(np.sort(found, 0), axis=1)
+            a = b
+
+
 def rare_pairs(sets: DataFrame, sigs: DataFrame, percent: int, least: float) -> DataFrame:
-    """Pairs (a, b) of different components that may link by their rarest shingles and by their signatures."""
+    """Pairs (a, b) of different components that may link by their rarest shingles and by their signatures.
+
+    Rows meet in cells of a shingle; a shingle of more than ``BLOCK`` rows is dealt into cells of about
+    ``BLOCK`` rows a side. Rows of one component don't meet, so a large group costs what others ask of it.
+    """
     rows = written(prefixes(sets, percent), "neardup-prefixes")
     tokens = rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    rows = rows.join(tokens.select("token", "n"), "token").join(sigs, "rep")
-    rows = written(rows.select("token", "n", "rep", "comp", "size", "pos", "indexed", "sig"), "neardup-shared")
-    mine = F.struct("rep", "comp", "size", "pos", "sig")
-    x = rows.select("token", part_of("rep", "n").alias("px"), each_part("n").alias("py"), mine.alias("x"))
-    y = rows.filter("indexed").select("token", each_part("n").alias("px"), part_of("rep", "n").alias("py"), mine.alias("y"))
-    smaller = "y.comp <> x.comp AND (y.size < x.size OR y.size = x.size AND y.rep < x.rep)"
-    enough = f"100 * y.size >= {percent} * x.size AND {100 + percent} * least(x.size - x.pos, y.size - y.pos) >= {percent} * (x.size + y.size)"
-    pairs = x.join(y, ["token", "px", "py"]).filter(f"{smaller} AND {enough}").filter(estimate(F.col("x.sig"), F.col("y.sig")) >= least)
-    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).filter("a <> b").distinct()
+    rows = written(rows.join(tokens.select("token", "n"), "token").join(sigs, "rep"), "neardup-shared")
+    mine = ["rep", "comp", "size", "pos", "sig"]
+    x = rows.select("token", part_of("rep", "n").alias("px"), each_part("n").alias("py"), F.lit(True).alias("asks"), *mine)
+    y = rows.filter("indexed").select("token", each_part("n").alias("px"), part_of("rep", "n").alias("py"), F.lit(False).alias("asks"), *mine)
+    cell = ["token", "px", "py"]
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            # the last cell may go on in the next batch
+            ends = np.flatnonzero(np.logical_or.reduce([np.diff(rows.column(c).to_numpy()) != 0 for c in cell]))
+            cut = int(ends[-1]) + 1 if len(ends) else 0
+            held = rows.slice(cut)
+            if cut:
+                yield from out(rows.slice(0, cut))
+        if held is not None and held.num_rows:
+            yield from out(held)
+
+    def out(rows: pa.Table):
+        for found in Cells(rows.combine_chunks(), percent, least).pairs():
+            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+
+    dealt = x.unionByName(y).repartition(*cell).sortWithinPartitions(*cell, "asks", "comp")
+    return dealt.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,9 +360,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     banded = reps.select("rep", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("band", "n")
     members = written(banded.join(shared, "band"), "neardup-members")
-    sig_of = lambda name: reps.select(F.col("rep").alias(name), F.col("sig").alias(f"sig_{name}"))
-    near = led(members).join(sig_of("b"), "b").join(sig_of("a"), "a").filter(estimate(F.col("sig_a"), F.col("sig_b")) >= least).select("a", "b").distinct()
-    near = written(near, "neardup-pairs")
+    near = likely(centred(members), reps, least)
     links = confirmed(docs, near, width, percent)
     comps = connected_components(links, "a", "b")
 
