@@ -23,9 +23,27 @@ def test_equals_brute_force_with_ties_hot_vector_and_bad_rows(spark):
     assert got == brute(ints, [x for x in ints if x[0] % 100 == 0], 10)
 
 
+def test_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, np.round(rng.normal(size=2 + i % 3), 2).tolist()) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = set().union(*(brute([x for x in ints if len(x[1]) == n], [x for x in ints if len(x[1]) == n and x[0] % 10 == 0], 4) for n in (2, 3, 4)))
+    assert {tuple(r) for r in topk.search(df, df.filter("vec_id % 10 = 0"), k=4).collect()} == want
+
+
+def test_large_components_and_rounds(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROUND_ROWS", 2)
+    rows = [(0, [1.0, 1.0]), (1, [3e6, 1.0]), (2, [1.0, 2.0]), (3, [-3e6, 5.0]), (4, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    assert {tuple(r) for r in topk.search(df, df, k=3).collect()} == brute([(i, np.array(v, object)) for i, v in ints], [(i, np.array(v, object)) for i, v in ints], 3)
+
+
 def test_fewer_rows_than_k_and_empty(spark):
     df = spark.createDataFrame([(0, [0.5, 0.5]), (1, [0.1, -0.2]), (2, [0.5, 0.5])], "vec_id long, embedding array<float>")
-    assert {tuple(r) for r in topk.search(df, df.filter("vec_id = 0")).collect()} == {(0, 1, 2, 524288), (0, 2, 1, -53248)}
+    low = 512 * sum(int(np.floor(1024 * float(np.float32(x)))) for x in (0.1, -0.2))
+    assert {tuple(r) for r in topk.search(df, df.filter("vec_id = 0")).collect()} == {(0, 1, 2, 524288), (0, 2, 1, low)}
     assert topk.search(df.limit(0), df).count() == 0 and topk.search(df, df.limit(0)).count() == 0
 
 
@@ -41,10 +59,14 @@ def test_annuli_are_skipped():
         own = np.flatnonzero(near == p)
         own = own[d[own, p].argsort()]
         rows.append({"pivot": p, "n": len(own), "dist": d[own, p].tobytes(), "ids": own.astype(np.int64).tobytes(), "vectors": x[own].astype("<i4").tobytes()})
-    count = [0, 0]
-    best = topk.search_blocks(iter([pa.RecordBatch.from_pylist(rows)]), np.arange(30) * 200, x[::200], centres, big, 5, count)
-    for r, q in enumerate(x[::200]):
-        s = x @ q
-        s[r * 200] = np.iinfo(np.int64).min
-        assert best.score[r].tolist() == sorted(s.tolist(), reverse=True)[:5]
-    assert count[0] < count[1]
+    held = np.arange(0, 6000, 7)
+    taken = []
+    for seed in (None, topk.Seed(held, x[held], 5)):
+        count = [0, 0]
+        best = topk.search_blocks(iter([pa.RecordBatch.from_pylist(rows)]), np.arange(30) * 200, x[::200], centres, big, 5, count, seed)
+        for r, q in enumerate(x[::200]):
+            s = x @ q
+            s[r * 200] = np.iinfo(np.int64).min
+            assert best.score[r].tolist() == sorted(s.tolist(), reverse=True)[:5]
+        taken.append(count[0] / count[1])
+    assert taken[1] <= taken[0] < 0.25, taken

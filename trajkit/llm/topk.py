@@ -4,20 +4,27 @@ A vector x gets one more component, sqrt(M - |x|^2) with M the largest squared n
 0 there; then the squared Euclidean distance is |q|^2 + M - 2<q, x>, and the largest inner products
 are the nearest points.  Each point is keyed by its nearest pivot and its distance to it.  For a
 query and a pivot the triangle inequality gives every point at pivot distance d a distance of at
-least |d(q, p) - d|: points are taken from the annulus around d(q, p) outwards, and a pivot is left
-when the next annulus is farther than the k-th best so far.  The bounds only leave out points that
-are strictly worse (with a margin over rounding), so ties are kept; scores are exact integers.
+least |d(q, p) - d|: pivots are taken from the nearest outwards, points from the annulus around
+d(q, p) outwards, and a pivot is left when the next annulus is farther than the k-th best so far.
+Every task starts from the k-th best among the rows that the pivots were fitted on, so more tasks
+don't prune less.  The bounds only leave out points that are strictly worse (with a margin over
+rounding), so ties are kept; scores are exact integers.  How much the bounds save depends on the
+vectors: where all distances are alike (random directions in many dimensions) every product is taken.
 
 Layout: rows are dealt by a hash of their id into shards, so a vector that a third of all rows
 share is spread evenly; inside a shard rows are sorted by pivot and distance and packed into blocks
 of binary columns, written once to the shared folder.  Pivots are fitted on at most ``SAMPLE``
 rows; every row is indexed.  Queries are read in rounds of about ``ROUND_ROWS`` and sent to all
-executors, checked against ``ROUND_BYTES``; each index task returns at most k rows a query.
-
-Vectors that are null, or hold null or non-finite components, take no part, nor do those of
-another length than most have (the smallest such length on a tie).  Components are packed in 32 bits,
-or in 64 where one needs it; a component or a score beyond 64 bits raises an error.  Rows with the query's own id are not its candidates.  Query rows that agree in id and
-vector are answered once; candidate rows count as often as they occur.
+executors, checked against ``ROUND_BYTES``; each index task returns at most k rows a query, and each
+round's result is written before the next one begins.
+
+Vectors that are null, empty, or hold null or non-finite components take no part.  Vectors of several
+lengths are searched length by length: a query's candidates are the vectors of its own length, for no
+other has a product with it (more than ``LENGTHS`` lengths are taken for an error).  Components are
+packed in 32 bits, or in 64 where one needs it; a component or a score beyond 64 bits raises an error.
+Rows with the query's own id are not its candidates; null ids take no part.  Query rows that agree in
+id and vector are answered once; candidate rows count as often as they occur, and ties go to the
+smaller id.  An empty table gives an empty result.  Other columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajkit.session import written
+from trajkit.session import fresh_path, written
 
 PIVOTS = 48
 SAMPLE = 4096
@@ -37,6 +44,8 @@ BLOCK_ROWS = 4096
 RING = 512
 ROUND_ROWS = 50_000
 ROUND_BYTES = 256 << 20
+LENGTHS = 64
+RESULT = "query_id long, rank int, vec_id long, score long"
 INDEX = "shard int, pivot int, n int, near double, far double, dist binary, ids binary, vectors binary"
 
 
@@ -66,10 +75,9 @@ def exact_product(a: np.ndarray, b: np.ndarray, skip: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def fit_pivots(vectors: DataFrame, dim: int, n_pivots: int, sample: int) -> np.ndarray:
-    """Centres of a few rounds of k-means on a fixed hashed sample of at most ``sample`` rows."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(sample).select("vec").toArrow()
-    x = np.unique(matrix(rows.column("vec").combine_chunks(), dim).astype(np.float64), axis=0)
+def fit_pivots(x: np.ndarray, n_pivots: int) -> np.ndarray:
+    """Centres of a few rounds of k-means on the sample's vectors."""
+    x = np.unique(x.astype(np.float64), axis=0)
     rng = np.random.default_rng(5)
     centres = x[rng.choice(len(x), min(n_pivots, len(x)), replace=False)]
     for _ in range(5):
@@ -175,85 +183,130 @@ class Best:
         self.id[rows[row[keep]], rank[keep]] = own[keep]
 
 
-def search_blocks(batches: Iterator[pa.RecordBatch], ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, big: float, k: int, count: list[int] | None = None) -> Best:
-    """Best of all blocks of an index for the queries; ``count`` gets [products taken, products possible]."""
+class Seed:
+    """Rows of the index that are known beforehand; each query's k-th best of them bounds what may enter."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+        self.ids, self.x, self.k = ids, x, k
+
+    def bound(self, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """A score for each query that its k-th best reaches at least; the least possible where the rows are too few."""
+        out = np.full(len(q), np.iinfo(np.int64).min)
+        if len(self.ids) > self.k:
+            for a in range(0, len(q), 2048):
+                same = ids[a : a + 2048, None] == self.ids
+                scores = exact_product(q[a : a + 2048], self.x, same)
+                scores[same] = np.iinfo(np.int64).min
+                out[a : a + 2048] = np.partition(scores, -self.k, 1)[:, -self.k]
+        return out
+
+
+def search_blocks(batches: Iterator[pa.RecordBatch], ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, big: float, k: int, count: list[int] | None = None, seed: Seed | None = None) -> Best:
+    """Best of all blocks of an index for the queries; ``count`` gets [products taken, products possible].
+
+    A batch's pivots are visited by each query from the nearest outwards, and a pivot's rings likewise.
+    """
     dim = q.shape[1]
     pivot_lift = np.sqrt(np.maximum(big - (pivots**2).sum(1), 0))
     q_sq = (q.astype(np.float64) ** 2).sum(1)
     to_pivot = pivot_distances(q, np.zeros(len(q)), pivots, pivot_lift)
-    best = Best(len(q), k)
+    best, floor = Best(len(q), k), seed.bound(ids, q) if seed else np.full(len(q), np.iinfo(np.int64).min)
     margin = 1e-6 * (np.sqrt(big) + np.sqrt(q_sq.max(initial=0)) + 1)
+    every = np.arange(len(q))
 
     def radius(rows: np.ndarray) -> np.ndarray:
         """Distance of the k-th best: what is farther can't enter."""
-        worst = best.worst(rows).astype(np.float64)
+        worst = np.maximum(best.worst(rows), floor[rows]).astype(np.float64)
         return np.where(worst < -9e18, np.inf, np.sqrt(np.maximum(q_sq[rows] + big - 2 * worst, 0))) + margin
 
-    def ring(x: np.ndarray, own: np.ndarray, a: int, b: int, rows: np.ndarray) -> None:
+    def ring(x: np.ndarray, own: np.ndarray, rows: np.ndarray) -> None:
         if count is not None:
-            count[0] += len(rows) * (b - a)
-        same = ids[rows][:, None] == own[a:b]
-        scores = exact_product(q[rows], x[a:b], same)
+            count[0] += len(rows) * len(own)
+        same = ids[rows][:, None] == own
+        scores = exact_product(q[rows], x, same)
         scores[same] = np.iinfo(np.int64).min
-        best.add(rows, scores, own[a:b])
+        best.add(rows, scores, own)
 
     for batch in batches:
+        blocks: dict[int, list[tuple]] = {}
         for pivot, n, dist, own, packed in zip(*(batch.column(c).to_pylist() for c in ("pivot", "n", "dist", "ids", "vectors")), strict=True):
-            d, own = np.frombuffer(dist), np.frombuffer(own, np.int64)
-            x = np.frombuffer(packed, "<i8" if len(packed) == 8 * n * dim else "<i4").reshape(n, dim).astype(np.int64)
+            blocks.setdefault(pivot, []).append((np.frombuffer(dist), np.frombuffer(own, np.int64), np.frombuffer(packed, "<i8" if len(packed) == 8 * n * dim else "<i4").reshape(n, dim)))
             if count is not None:
                 count[1] += len(q) * n
-            edges = [*range(0, n, RING), n]
-            inner, outer = d[edges[:-1]], d[np.array(edges[1:]) - 1]
-            mid = to_pivot[:, pivot]
-            # rings by their least possible distance for each query, nearest ring first
-            gap = np.maximum(np.maximum(inner[None, :] - mid[:, None], mid[:, None] - outer[None, :]), 0)
-            order = gap.argsort(1, kind="stable")
-            for step in range(len(inner)):
-                at = order[:, step]
-                live = np.flatnonzero(gap[np.arange(len(q)), at] <= radius(np.arange(len(q))))
-                if not len(live):
-                    break
-                for r in np.unique(at[live]):
-                    ring(x, own, edges[r], edges[r + 1], live[at[live] == r])
+        if not blocks:
+            continue
+        # a pivot's rings: (inner, outer, block, from, to)
+        rings = {p: [(d[a], d[min(a + RING, len(d)) - 1], i, a, min(a + RING, len(d))) for i, (d, _, _) in enumerate(own) for a in range(0, len(d), RING)] for p, own in blocks.items()}
+        names = np.array(sorted(rings))
+        lo, hi = (np.array([f(r[j] for r in rings[p]) for p in names.tolist()]) for f, j in ((min, 0), (max, 1)))
+        mid = to_pivot[:, names]
+        away = np.maximum(np.maximum(lo - mid, mid - hi), 0)
+        visit = np.lexsort((mid, away), axis=1)
+        for turn in range(len(names)):
+            at_pivot = visit[:, turn]
+            near = np.flatnonzero(away[every, at_pivot] <= radius(every))
+            for p in np.unique(at_pivot[near]):
+                rows, own = near[at_pivot[near] == p], rings[int(names[p])]
+                inner, outer = np.array([r[0] for r in own]), np.array([r[1] for r in own])
+                m = mid[rows, p][:, None]
+                gap = np.maximum(np.maximum(inner - m, m - outer), 0)
+                order = gap.argsort(1, kind="stable")
+                for step in range(len(own)):
+                    at = order[:, step]
+                    live = gap[np.arange(len(rows)), at] <= radius(rows)
+                    if not live.any():
+                        break
+                    for r in np.unique(at[live]):
+                        _, _, i, a, b = own[r]
+                        _, keys, x = blocks[int(names[p])][i]
+                        ring(x[a:b].astype(np.int64), keys[a:b], rows[live & (at == r)])
     return best
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 1024.0, n_pivots: int = PIVOTS) -> DataFrame:
     """``query_id, rank, vec_id, score`` of every query's k best rows of ``vectors``."""
     spark = vectors.sparkSession
-    schema = "query_id long, rank int, vec_id long, score long"
     base = written(quantised(vectors, id_col, vec_col, scale), "topk-vectors")
-    common = base.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if common is None:
-        return spark.createDataFrame([], schema)
-    dim = common["d"]
-    base = base.filter(F.size("vec") == dim)
+    lengths = [r.d for r in base.groupBy(F.size("vec").alias("d")).count().orderBy("d").limit(LENGTHS + 1).collect()]
+    if len(lengths) > LENGTHS:
+        raise ValueError(f"vectors of more than {LENGTHS} lengths")
+    asked = written(quantised(queries, id_col, vec_col, scale).dropDuplicates(["vec_id", "vec"]).select(F.col("vec_id").alias("query_id"), "vec"), "topk-queries")
+    path = fresh_path(spark, "topk-found")
+    spark.createDataFrame([], RESULT).write.parquet(path)
+    for dim in lengths:
+        _search_length(base.filter(F.size("vec") == dim), asked.filter(F.size("vec") == dim), dim, k, n_pivots, path)
+    return spark.read.schema(RESULT).parquet(path)
+
+
+def _search_length(base: DataFrame, asked: DataFrame, dim: int, k: int, n_pivots: int, path: str) -> None:
+    """Append the answers to the queries of one length to the table at ``path``."""
+    spark, n_asked = base.sparkSession, asked.count()
+    if not n_asked:
+        return
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     big, low, high = base.select(F.max(norm), F.min(F.array_min("vec")), F.max(F.array_max("vec"))).first()
-    pivots = fit_pivots(base, dim, n_pivots, SAMPLE)
+    rows = base.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE).toArrow()
+    sample = matrix(rows.column("vec").combine_chunks(), dim)
+    pivots, seed = fit_pivots(sample, n_pivots), Seed(rows.column("vec_id").to_numpy(), sample, k)
     big = max(big, float((pivots**2).sum(1).max()))
     index = build_index(base, dim, big, pivots, low < -(1 << 31) or high >= 1 << 31)
-    asked = quantised(queries, id_col, vec_col, scale).filter(F.size("vec") == dim).dropDuplicates(["vec_id", "vec"])
-    asked = written(asked.select(F.col("vec_id").alias("query_id"), "vec"), "topk-queries")
-    n_rounds = -(-asked.count() // max(1, min(ROUND_ROWS, ROUND_BYTES // (dim * 24))))
-    found = None
+    n_rounds = -(-n_asked // max(1, min(ROUND_ROWS, ROUND_BYTES // (dim * 24))))
     for r in range(n_rounds):
         part = asked.filter(F.pmod(F.xxhash64("query_id", "vec"), F.lit(n_rounds)) == r).toArrow()
         if part.nbytes > 2 * ROUND_BYTES:
             raise ValueError("a round of queries is over its bound")
         if not part.num_rows:
             continue
-        sent = spark.sparkContext.broadcast((part.column("query_id").to_numpy(), matrix(part.column("vec").combine_chunks(), dim).astype(np.int64)))
+        sent = spark.sparkContext.broadcast((part.column("query_id").to_numpy(), matrix(part.column("vec").combine_chunks(), dim).astype(np.int64), seed))
 
         def run(batches, sent=sent):
-            ids, q = sent.value
-            best = search_blocks(batches, ids, q, pivots, big, k)
+            ids, q, seed = sent.value
+            best = search_blocks(batches, ids, q, pivots, big, k, seed=seed)
             r, c = np.nonzero(best.score > np.iinfo(np.int64).min)
             yield pa.RecordBatch.from_arrays([pa.array(ids[r]), pa.array(r.astype(np.int64)), pa.array(best.id[r, c]), pa.array(best.score[r, c])], ["query_id", "query_row", "vec_id", "score"])
 
         local = index.mapInArrow(run, "query_id long, query_row long, vec_id long, score long")
         own = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
         top = local.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-        found = top if found is None else found.unionByName(top)
-    return spark.createDataFrame([], schema) if found is None else found
+        top.write.mode("append").parquet(path)
+        sent.destroy()
