@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import multiprocessing
 import pickle
+import subprocess
+import sys
 from collections.abc import Callable
 
 import numpy as np
@@ -20,9 +21,10 @@ def held_out(mod: int, rest: int):
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, per_class: dict[int, int]) -> DataFrame:
-    """``doc_id``, ``text`` and ``label`` of at most so many rows of each class, the first by a hash of doc_id.
+    """``doc_id``, ``text`` and ``label`` of at most so many documents of each class, the first by a hash of doc_id.
 
-    ``allowed`` is the condition on doc_id under which a label may be learnt from.
+    ``allowed`` is the condition on doc_id under which a label may be learnt from. A doc_id gives one
+    row: of several texts the smallest counts, and an id with contradicting labels gives none.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(allowed & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter(F.col("label") == F.col("most")).drop("most")
@@ -32,22 +34,32 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, allowed, per_class: d
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")  # bounded by per_class
+    # chosen ids are bounded by per_class, and repeated rows of an id meet before they leave their task
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
+
+
+_CHILD = "import sys, pickle; sys.path[:0] = pickle.load(sys.stdin.buffer); from trajkit.llm.labelled import _answer; _answer()"
+#: Seconds after which a fit is given up.
+FIT_LIMIT = 3600
+
+
+def _answer() -> None:
+    """In a fresh interpreter: fit the function and table that stdin holds and write the pickled model to stdout."""
+    fit, raw = pickle.load(sys.stdin.buffer)
+    with pa.ipc.open_stream(raw) as stream:
+        sys.stdout.buffer.write(pickle.dumps(fit(stream.read_all())))
 
 
 def _apart(fit: Callable[[pa.Table], object], table: pa.Table) -> bytes:
-    """The pickled result of a forked child: what fitting takes of memory goes with it, and the worker stays small."""
-    ctx = multiprocessing.get_context("fork")
-    ours, theirs = ctx.Pipe(duplex=False)
-    child = ctx.Process(target=lambda: theirs.send_bytes(pickle.dumps(fit(table))))
-    child.start()
-    theirs.close()
-    try:
-        return ours.recv_bytes()
-    except EOFError:
-        raise RuntimeError("fitting failed; the task's log has its error") from None
-    finally:
-        child.join()
+    """The pickled result of a fresh interpreter: what fitting takes of memory goes with it, and the worker stays small."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    sent = pickle.dumps(sys.path) + pickle.dumps((fit, sink.getvalue().to_pybytes()))
+    done = subprocess.run([sys.executable, "-c", _CHILD], input=sent, capture_output=True, timeout=FIT_LIMIT)
+    if done.returncode:
+        raise RuntimeError("fitting failed: " + done.stderr.decode("utf-8", "replace")[-2000:])
+    return done.stdout
 
 
 def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]) -> object:

@@ -5,10 +5,15 @@ punctuation) and buckets of a few shape measures, such as the share of words tha
 before.  Log counts are weighted by inverse document frequency in the training sample, and a
 truncated SVD of the sample's matrix gives latent vectors.  The sample's vectors are sent to all
 executors (their number is bounded by ``SAMPLE``); every document's exact cosine with every one of
-them is computed in blocks, and the ``NEIGHBOURS`` nearest vote with their similarity's power.
-
-Only the text is an input of a score.  Null texts count as empty.  Without labelled rows every
-score is 0.5; with one class only, that class.  Null and repeated ids are kept.
+them is computed in blocks of doubles, and the ``NEIGHBOURS`` nearest vote with their similarity's
+power.  Cosines count to ``DIGITS`` decimals; of equal ones the sample's earlier row (by doc_id) is
+nearer, so a score doesn't depend on the block that a text came in.
+
+Only the text is an input of a score.  Null texts count as empty; very long texts are read whole.
+Without labelled rows every score is 0.5; with one class only, that class.  Null ids score like
+others and are never learnt from; repeated rows are scored as often as they occur, and an id is
+learnt from once.  An empty table gives an empty result.  Columns of other names are left out by
+``score`` and ``classify``, and kept as they are by ``filter_rows``, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from trajkit.llm.labelled import Words, fitted, held_out, sample
 
 #: Most labelled rows that the model is fitted on, by class.
 SAMPLE = {0: 1500, 1: 3000}
-DIMENSIONS, NEIGHBOURS, POWER = 48, 25, 8
+DIMENSIONS, NEIGHBOURS, POWER, DIGITS = 48, 25, 8, 9
 _CLASSES, _SHAPES, _BUCKETS = 16, 6, 16
 TERMS = _CLASSES**3 + _SHAPES * _BUCKETS
 
@@ -70,19 +75,21 @@ class Model:
         self.idf, self.basis, self.vectors, self.labels = idf, basis, vectors, labels
 
     def latent(self, x: np.ndarray) -> np.ndarray:
-        x = x * self.idf
+        x = x.astype(np.float64) * self.idf
         z = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)) @ self.basis
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(texts), 0.5)
-        z, k = self.latent(counts(texts)), min(NEIGHBOURS, len(self.labels))
-        out = np.zeros(len(z))
+        n, k = len(self.labels), min(NEIGHBOURS, len(self.labels))
+        z = self.latent(counts(texts))
+        out, place = np.zeros(len(z)), np.arange(n)
         for a in range(0, len(z), 512):
-            sim = z[a : a + 512] @ self.vectors.T
-            near = np.argpartition(-sim, k - 1, 1)[:, :k]
-            weight = np.maximum(np.take_along_axis(sim, near, 1), 0.0) ** POWER + 1e-9
+            sim = np.rint(z[a : a + 512] @ self.vectors.T * 10**DIGITS).astype(np.int64)
+            # one number for cosine and place: the k nearest are the same in any order of work
+            near = np.sort(np.argpartition(place - sim * n, k - 1, 1)[:, :k], 1)
+            weight = np.maximum(np.take_along_axis(sim, near, 1) / 10**DIGITS, 0.0) ** POWER + 1e-9
             out[a : a + 512] = (weight * self.labels[near]).sum(1) / weight.sum(1)
         return np.clip(out, 0.0, 1.0)
 
@@ -103,7 +110,8 @@ def fit(rows: pa.Table) -> Model:
     q = np.linalg.qr(w.T @ (w @ np.random.default_rng(11).normal(size=(w.shape[1], rank)).astype(np.float32)))[0]
     for _ in range(4):
         q = np.linalg.qr(w.T @ (w @ q))[0]
-    z = w @ q
+    q = q.astype(np.float64)
+    z = np.concatenate([w[a : a + 512].astype(np.float64) @ q for a in range(0, len(w), 512)])
     return Model(idf, np.ascontiguousarray(q), z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9), labels)
 
 

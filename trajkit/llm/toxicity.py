@@ -7,8 +7,12 @@ noisy-or.  Of all features only those seen in at least ``MIN_TEXTS`` toxic texts
 a share ``MIN_SHARE`` of them) and clearly more often there than in clean ones (by ``LIFT`` and ``PROOF``) get a weight, so the model has at most ``FEATURES``.
 
 Sentences end at . ! ? and line ends; a sentence without letters scores the bias alone.  Empty and
-null texts have no sentence and score 0.  Only the text is an input.  Without labels of both kinds
-every score is 0.  Null and repeated ids are kept.
+null texts have no sentence and score 0.  Only the text is an input.  With labels of one kind only,
+or none, nothing can be told apart: every score is 1 where all labels are toxic, else 0.  Very long
+texts are read whole; of sentences with equal scores the first is the worst.  Null ids score like
+others and are never learnt from; repeated rows are scored as often as they occur, and an id is
+learnt from once.  An empty table gives an empty result.  Columns of other names are left out by
+``score`` and ``classify``, and kept as they are by ``quality.filter_rows``, whatever their names.
 """
 
 from __future__ import annotations
@@ -64,6 +68,7 @@ class Model:
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
         self.known: dict[bytes, float] = {}
+        self.held = 0
 
     def __getstate__(self):
         return self.weights, self.bias
@@ -72,12 +77,14 @@ class Model:
         self.__init__(*state)
 
     def word_logits(self, keys: list[bytes]) -> np.ndarray:
-        if len(self.known) > 150_000:
+        if len(self.known) > 150_000 or self.held > 32 << 20:
             self.known.clear()
+            self.held = 0
         known, get = self.known, self.weights.get
         for k in keys:
             if k not in known:
-                known[k] = sum(get(f, 0.0) for f in features_of(k)) if len(k) < 4096 else sum(sum(get(f, 0.0) for f in features_of(x)) for x in k.split())
+                self.held += len(k)
+                known[k] = sum(get(f, 0.0) for f in features_of(k))
         return np.fromiter(map(known.__getitem__, keys), np.float64, len(keys))
 
     def sentences(self, texts: pa.Array) -> tuple[Sentences, np.ndarray]:
@@ -89,7 +96,13 @@ class Model:
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         s, z = self.sentences(texts)
-        return -np.expm1(-np.bincount(s.doc, np.logaddexp(0, z), len(texts))) if self.weights else np.zeros(len(texts))
+        return self.combined(s, z, len(texts))
+
+    def combined(self, s: Sentences, z: np.ndarray, n: int) -> np.ndarray:
+        """The noisy-or of the sentences of each of n texts."""
+        if not self.weights:
+            return np.full(n, float(self.bias > 0))
+        return -np.expm1(-np.bincount(s.doc, np.logaddexp(0, z), n))
 
 
 def _once(s: Sentences, own: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
@@ -173,7 +186,7 @@ def fit(rows: pa.Table) -> Model:
     label = rows.column("label").to_numpy().astype(bool)
     chosen = _chosen(rows, label) if label.any() and not label.all() else []
     if not chosen:
-        return Model({}, -20.0)
+        return Model({}, 20.0 if len(label) and label.all() else -20.0)
     doc, sentence, feature, others = _occurrences(rows, chosen)
     count, y = len(doc), label
     weight = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
@@ -200,7 +213,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for block in blocks(batches, "text"):
             s, z = sent.value.sentences(block.column("text"))
             n = block.num_rows
-            total = np.bincount(s.doc, np.logaddexp(0, z), n) if sent.value.weights else np.zeros(n)
             start, end = np.full(n, -1), np.full(n, -1)
             if len(z):
                 ends = np.append(s.words.starts[s.first[1:]], len(s.words.data))
@@ -209,7 +221,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 start[s.doc[top]] = s.words.starts[s.first[top]] - s.words.offsets[s.doc[top]]
                 end[s.doc[top]] = ends[top] - s.words.offsets[s.doc[top]]
             none = start < 0
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(-np.expm1(-total)), pa.array(start, pa.int64(), mask=none), pa.array(end, pa.int64(), mask=none)], ["doc_id", "score", "worst_start", "worst_end"])
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(sent.value.combined(s, z, n)), pa.array(start, pa.int64(), mask=none), pa.array(end, pa.int64(), mask=none)], ["doc_id", "score", "worst_start", "worst_end"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double, worst_start long, worst_end long")
 
