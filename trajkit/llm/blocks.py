@@ -156,8 +156,8 @@ class WordEncoder:
         runs = [e.ids for e in self.tokenizer.encode_batch_fast([k.decode("utf-8", "replace") for k in keys], add_special_tokens=False)]
         return np.array([i for r in runs for i in r], np.uint32), np.fromiter(map(len, runs), np.int64, len(runs))
 
-    def learn(self, keys: list[bytes]) -> None:
-        """Encode the keys into the store.
+    def learn(self, keys: list[bytes], store: SlotStore) -> None:
+        """Encode the keys, each as a text of its own, into a store.
 
         A special token splits a text before all else, so keys with one between them are encoded as
         if each stood alone, in far fewer calls; keys that hold the token's string go one by one.
@@ -165,7 +165,7 @@ class WordEncoder:
         mark = self.mark.encode() if self.mark else b""
         odd = [k for k in keys if mark in k]
         if odd:
-            self.store.add(odd, *self.raw(odd))
+            store.add(odd, *self.raw(odd))
             keys = [k for k in keys if mark not in k]
         end = self.tokenizer.token_to_id(self.mark) if self.mark else None
         for i in range(0, len(keys), 20_000):
@@ -174,9 +174,9 @@ class WordEncoder:
             ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
             ends = np.flatnonzero(ids == end)
             if len(ends) == len(part):
-                self.store.add(part, ids[ids != end], np.diff(ends, prepend=-1) - 1)
+                store.add(part, ids[ids != end], np.diff(ends, prepend=-1) - 1)
             else:
-                self.store.add(part, *self.raw(part))
+                store.add(part, *self.raw(part))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows joined, and the rows' offsets into them."""
@@ -192,7 +192,7 @@ class WordEncoder:
         keys = key_list(words)
         have = self.store.slot
         if new := [k for k in keys if k not in have]:
-            self.learn(new)
+            self.learn(new, self.store)
         slots = np.fromiter(map(have.__getitem__, keys), np.int64, len(keys))[words.indices.to_numpy()]
         ids, at = self.store.expand(slots)
         return ids, at[np.searchsorted(starts, offsets)]

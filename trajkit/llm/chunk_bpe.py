@@ -1,19 +1,23 @@
 """BPE encoding with content-defined chunk reuse, and decoding.
 
 A rolling hash over the last 32 bytes cuts texts into chunks that depend on content only, so a
-passage that many documents share gives the same chunks wherever it stands.  Inside a chunk the
-stretch from its first to its last safe cut (``blocks.safe_cuts``) has ids that no neighbour can
-change; that stretch is encoded once per Python worker while it stays in a bounded cache.  Where
-two chunks meet, the bytes between the last safe cut of the one and the first of the other are
-encoded anew; the window grows over whole chunks until both ends are safe, which is where the
-joined ids provably agree with the ids of the whole text.
+passage that many documents share gives the same chunks wherever it stands.  Each distinct chunk is
+encoded once, as if it were a text of its own, while it stays in a worker's bounded store; words of
+new chunks come from a bounded store of words.
+
+The ids at a chunk's ends are not those of the whole text, so each join of two chunks is repaired:
+a window of the text around the join, out to safe cuts (``blocks.safe_cuts``) and a word more on
+each side, is encoded in one piece by the tokenizer itself.  The ids of the words at both ends of
+the window must be the very ids that the two chunks have there, at the same places; where they are
+not, the window grows, twice as far each time, until they agree or it reaches the text's end.
+Windows that meet become one.  The window's ids then take the place of the chunks' ids.
 
 Reuse is by worker and not global on purpose: to gather equal chunks of all documents would
 shuffle the whole text and all ids, which costs more than to encode a chunk once in each worker.
 
-Null texts count as empty and have no ids.  Null and repeated ``doc_id`` are kept as they are; all
-columns but the named two are left out, so clashing names do no harm.  An empty table gives an
-empty result.
+Null texts count as empty and have no ids; very long texts are encoded whole.  Null and repeated
+``doc_id`` are kept as they are; all columns but the named two are left out, so clashing names do no
+harm.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,55 +48,97 @@ def chunk_starts(data: np.ndarray, bits: int = CHUNK_BITS) -> np.ndarray:
     return np.flatnonzero(h < np.uint32(1 << (32 - bits))) + 1
 
 
+def whole_characters(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places, each moved on to the next beginning of a UTF-8 character."""
+    for _ in range(3):
+        inside = (at < len(data)) & ((data[np.minimum(at, len(data) - 1)] & 0xC0) == 0x80)
+        at = at + inside
+    return at
+
+
 class ChunkEncoder:
     """Ids of whole texts; chunks seen before are not encoded again."""
 
-    def __init__(self, words: WordEncoder, max_chunks: int = 100_000, max_bytes: int = 96 << 20, bits: int = CHUNK_BITS):
-        self.words, self.bits, self.store = words, bits, SlotStore(max_chunks, max_bytes)
-        self.reused = self.encoded = 0
+    def __init__(self, words: WordEncoder, lens: np.ndarray, max_chunks: int = 100_000, max_bytes: int = 64 << 20, bits: int = CHUNK_BITS):
+        self.words, self.lens, self.bits = words, lens, bits
+        self.store, self.joins = SlotStore(max_chunks, max_bytes), SlotStore(max_chunks, max_bytes // 4)
+        self.reused = self.encoded = self.widened = 0
 
     def _fresh(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids, at = self.words.encode(np.frombuffer(b"".join(keys), np.uint8), np.append(0, np.cumsum([len(k) for k in keys])).astype(np.int64))
         return ids, np.diff(at)
 
+    def _windows(self, raw: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the windows joined, each id's place in the text, and its window."""
+        keys = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        if new := [k for k in dict.fromkeys(keys) if k not in self.joins.slot]:
+            self.words.learn(new, self.joins)
+        ids, at = self.joins.expand(np.fromiter(map(self.joins.slot.__getitem__, keys), np.int64, len(keys)))
+        of = np.repeat(np.arange(len(keys)), np.diff(at))
+        size = self.lens[ids]
+        before = np.cumsum(size) - size
+        return ids, begin[of] + before - before[at[:-1]][of], of
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(data):
+        n = len(data)
+        if not n:
             return np.zeros(0, np.uint16), np.zeros(len(offsets), np.int64)
         self.store.trim()
-        docs = np.unique(offsets[offsets < len(data)])
-        chunks = np.union1d(chunk_starts(data, self.bits), docs)
-        chunks = chunks[chunks < len(data)]
-        cuts = safe_cuts(data)
-        ends = np.append(chunks[1:], len(data))
-        lo, hi = np.searchsorted(cuts, chunks, "right"), np.searchsorted(cuts, ends, "left")
-        some = lo < hi
-        first, last = cuts[lo[some]], cuts[hi[some] - 1]
-        starts = np.unique(np.concatenate([docs, first, last]))
+        self.joins.trim()
+        docs = np.unique(offsets[offsets < n])
+        starts = np.union1d(whole_characters(data, chunk_starts(data, self.bits)), docs)
+        starts = starts[starts < n]
         parts = segments(data, starts)
-        inner = np.isin(starts, first[first < last])  # a chunk's own stretch; the others are joins
-        codes = parts.indices.to_numpy()
-        keys = key_list(parts)
-        kept = np.zeros(len(keys), bool)
-        kept[codes[inner]] = True
-        have = self.store.slot
-        new = [k for k, keep in zip(keys, kept, strict=True) if keep and k not in have]
+        keys, codes = key_list(parts), parts.indices.to_numpy()
+        new = [k for k in keys if k not in self.store.slot]
         self.encoded += len(new)
-        self.reused += int(inner.sum()) - len(new)
+        self.reused += len(codes) - len(new)
         if new:
             self.store.add(new, *self._fresh(new))
-        joins = SlotStore(1, 1)
-        once = [k for k, keep in zip(keys, kept, strict=True) if not keep and k not in have]
-        if once:
-            joins.add(once, *self._fresh(once))
-        base, n = self.store.n_ids, len(have)
-        both = SlotStore(1, 1)
-        wide = np.uint32 if self.store.ids.dtype == np.uint32 or joins.ids.dtype == np.uint32 else np.uint16
-        both.ids = np.concatenate([self.store.ids[:base].astype(wide, copy=False), joins.ids[: joins.n_ids].astype(wide, copy=False)])
-        both.off = np.concatenate([self.store.off[:n], joins.off[: len(once)] + base])
-        both.len = np.concatenate([self.store.len[:n], joins.len[: len(once)]])
-        slots = np.fromiter((have[k] if k in have else n + joins.slot[k] for k in keys), np.int64, len(keys))
-        ids, at = both.expand(slots[codes])
-        return ids, at[np.searchsorted(starts, offsets)]
+        ids, _ = self.store.expand(np.fromiter(map(self.store.slot.__getitem__, keys), np.int64, len(keys))[codes])
+        place = np.cumsum(self.lens[ids]) - self.lens[ids]
+        inner = np.setdiff1d(starts, docs, assume_unique=True)
+        if len(inner):
+            ids, place = self._repaired(data, docs, inner, ids, place)
+        return ids, np.searchsorted(place, offsets)
+
+    def _repaired(self, data: np.ndarray, docs: np.ndarray, inner: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks' ids and places with those around the joins at ``inner`` replaced."""
+        n, raw = len(data), data.tobytes()
+        cuts = np.unique(np.concatenate([docs, safe_cuts(data), [n]]))
+        doc = np.searchsorted(docs, inner, "right") - 1
+        at_doc = np.searchsorted(cuts, np.append(docs, n))
+        first, last = at_doc[doc], at_doc[doc + 1]  # the text's ends, as numbers of cuts like all that follows
+        lo, hi = np.searchsorted(cuts, inner, "left") - 1, np.searchsorted(cuts, inner, "right")
+        left, right, step = np.maximum(lo - 1, first), np.minimum(hi + 1, last), 1
+        while True:
+            apart = np.flatnonzero(np.append(True, left[1:] >= np.maximum.accumulate(right)[:-1]))
+            left, lo, first, last = left[apart], lo[apart], first[apart], last[apart]
+            right, hi = (np.maximum.reduceat(x, apart) for x in (right, hi))
+            begin, end = cuts[left], cuts[right]
+            own, where, of = self._windows(raw, begin, end)
+            base = np.minimum(np.searchsorted(place, where), len(place) - 1)
+            same = (place[base] == where) & (ids[base] == own)
+            a, b = cuts[lo], cuts[hi]
+            count = lambda mask: np.bincount(of[mask], minlength=len(begin))
+            wrong_left = (count(~same & (where < a[of])) > 0) | (count(where == a[of]) == 0)
+            wrong_right = (count(~same & (where >= b[of])) > 0) | ((count(where == b[of]) == 0) & (b < end))
+            wrong_left, wrong_right = wrong_left & (left > first), wrong_right & (right < last)
+            if not (wrong_left | wrong_right).any():
+                break
+            self.widened += int((wrong_left | wrong_right).sum())
+            left = np.where(wrong_left, np.maximum(left - step, first), left)
+            right = np.where(wrong_right, np.minimum(right + step, last), right)
+            # what did not agree is no margin any more
+            lo, hi, step = np.where(wrong_left, np.maximum(lo - step, first), lo), np.where(wrong_right, np.minimum(hi + step, last), hi), 2 * step
+        gone = np.zeros(len(ids) + 1, np.int64)
+        np.add.at(gone, np.searchsorted(place, begin), 1)
+        np.add.at(gone, np.searchsorted(place, end), -1)
+        kept = np.cumsum(gone[:-1]) == 0
+        ids, place = ids[kept], place[kept]
+        at = np.searchsorted(place, where)
+        wide = np.result_type(ids, own)
+        return np.insert(ids.astype(wide, copy=False), at, own), np.insert(place, at, where)
 
 
 _chunkers: dict[str, ChunkEncoder] = {}
@@ -100,7 +146,7 @@ _chunkers: dict[str, ChunkEncoder] = {}
 
 def chunker(path: str) -> ChunkEncoder:
     if path not in _chunkers:
-        _chunkers[path] = ChunkEncoder(encoder(path))
+        _chunkers[path] = ChunkEncoder(encoder(path), decoder(path).len)
     return _chunkers[path]
 
 
