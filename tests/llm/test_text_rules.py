@@ -1,6 +1,7 @@
 """Chat formatting and personal data against plain Python."""
 
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -78,10 +79,40 @@ def test_redaction(spark):
     assert got[1].text is None and got[2].text == "nothing" and got[2].n_chars == 7
 
 
-def test_weak_labels_add_likely_spans_only(spark):
-    texts = [f"please call +1 (743) 555-{i:04d} or call (499) 555-{i:04d} soon" for i in range(60)] + ["word (123) 000-0000x and 1234.5678"]
+def test_redaction_beside_clashing_columns(spark):
+    df = spark.createDataFrame([("x", "mail a@b.de now", ["s"], 1, "p")], "found string, text string, spans array<string>, base int, _pii string")
+    got = pii.redact(df, pii.fit(df)).collect()
+    assert [tuple(r) for r in got] == [("x", "mail [EMAIL] now", ["s"], 1, "p")]
+    assert pii.redact(df.limit(0), pii.fit(df.limit(0))).count() == 0
+
+
+def spans_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.detect(df, pii.fit(df)).collect()
+    return [{(pii.KINDS[s.kind], texts[r.doc_id][s.start : s.end]) for s in r.spans} for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_weak_labels_add_likely_spans_and_reject_others(spark):
+    rnd = random.Random(4)
+    texts, want = [], []
+    for i in range(60):
+        texts.append(f"call +1 (743) 555-{i:04d} or call (499) 555-{i:04d} soon")
+        want.append({("phone", f"+1 (743) 555-{i:04d}"), ("phone", f"(499) 555-{i:04d}")})
+        texts.append(f"write to ann{i}@mail.org or bob{i} (at) mail.org but not to crew@deck{i}")
+        want.append({("email", f"ann{i}@mail.org"), ("email", f"bob{i} (at) mail.org")})
+        texts.append(f"host 10.2.{i}.7 runs version 3.{i}.1 of {1900 + i}.12.03.44.1")
+        want.append({("ip", f"10.2.{i}.7")})
+        good = next(n for n in iter(lambda: str(rnd.randrange(4 * 10**15, 5 * 10**15)), None) if luhn(n))
+        bad = next(n for n in iter(lambda: str(rnd.randrange(10**15, 9 * 10**15)), None) if not luhn(n))
+        texts.append(f"paid with {good} for parcel {bad} today")
+        want.append({("card", good)})
+    for text, got, all_of in zip(texts, spans_of(spark, texts), want, strict=True):
+        assert got == all_of, text
+
+
+def test_context_is_learnt_in_any_language(spark):
+    texts = [f"Rufnummer +49 30 555{i:04d} bitte" for i in range(40)] + [f"Artikel 30 555 {i:04d}x bitte" for i in range(40)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    model = pii.fit(df)
-    rows = pii.detect(df, model, ["doc_id"]).select("doc_id", F.size("base").alias("b"), F.size("spans").alias("s")).collect()
-    assert all(r.b == 1 and r.s == 2 for r in rows if r.doc_id < 60)
-    assert all(0.5 <= x <= 1 for own in model.reliability.values() for x in own)
+    signs = pii.fit(df).words[pii.KINDS.index("phone")]
+    cell = {w: spark.range(1).select(F.pmod(F.xxhash64(F.lit(w)), F.lit(pii.CELLS))).first()[0] for w in ("rufnummer", "artikel", "bitte")}
+    assert [signs[cell[w]] for w in ("rufnummer", "artikel", "bitte")] == ["+", "-", "0"]
