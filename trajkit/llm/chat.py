@@ -10,7 +10,8 @@ read back.
 Turns are ordered by turn (null first), then role and text; repeated rows count as often as they
 occur.  Null roles and texts count as empty.  Rows of a null conv_id form a conversation of their
 own.  Conversations in a wrong order are kept and told by ``valid`` and ``error_turn``.  Other
-columns are left out.  A conversation is one output value, so its turns meet in one task; different
+columns are left out, whatever their names; an empty table gives an empty result, and very long texts
+are formatted whole.  A conversation is one output value, so its turns meet in one task; different
 conversations are dealt evenly.
 """
 
@@ -91,19 +92,24 @@ def format_chats(rows: DataFrame, template: Template = CHATML) -> DataFrame:
 
 
 def parse(formatted: Column, template: Template = CHATML) -> Column:
-    """The turns of a formatted text: array of role and text."""
+    """The turns of a formatted text: array of role, text (unescaped) and whether the text counts in the loss."""
     t = template
     quote = lambda s: r"\Q" + s + r"\E"
     whole = rf"(?s)^((?:[^\\\n]|\\.)*+){quote(t.header_end)}(.*){quote(t.turn_end)}$"
     turns = F.slice(F.split(formatted, quote(t.turn_start)), 2, 1 << 30)
-    return F.transform(turns, lambda x: F.struct(unescape(F.regexp_extract(x, whole, 1)).alias("role"), unescape(F.regexp_extract(x, whole, 2)).alias("text")))
+
+    def turn(x: Column) -> Column:
+        role = unescape(F.regexp_extract(x, whole, 1))
+        return F.struct(role.alias("role"), unescape(F.regexp_extract(x, whole, 2)).alias("text"), role.isin(*t.loss_roles).alias("loss"))
+
+    return F.transform(turns, turn)
 
 
 def digests(rows: DataFrame, template: Template = CHATML) -> DataFrame:
     """What the formatted conversations say when read back."""
     out = format_chats(rows, template).withColumn("back", parse(F.col("formatted"), template))
     spoken = F.array_join(F.transform("back", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    out = out.withColumn("lost", F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"])), ""))
+    out = out.withColumn("lost", F.array_join(F.transform(F.filter("back", lambda x: x["loss"]), lambda x: x["text"]), ""))
     return out.select(
         "conv_id",
         F.size("back").cast("long").alias("n_turns"),

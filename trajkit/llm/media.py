@@ -15,7 +15,8 @@ the differences before it in the shot by ``FACTOR`` times (and ``FLOOR`` of the
 begins.  Rows of clips: number, first frame, frames, start and end in seconds.
 
 Null texts count as empty; empty texts have a payload of 64 zero bytes.  Null and repeated ids are
-kept; other columns are left out.  Equal texts give equal files.
+kept; other columns are left out, whatever their names; very long texts are stored whole, in as many
+frames as they need.  Equal texts give equal files.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -311,17 +312,20 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
+MEDIA = "doc_id long, n_bytes long, media binary"
+
+
 def media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and the file of each text."""
+    """``doc_id``, the text's bytes and its file."""
 
     def run(batches):
         for block in blocks(batches, "text"):
             data, off = flat(block.column("text"))
             raw = data.tobytes()
             files = [encode_avi(payload_of(raw[a:b])) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(files, pa.binary())], ["doc_id", "media"])
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(np.diff(off)), pa.array(files, pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, media binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, MEDIA)
 
 
 def clips(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -341,21 +345,26 @@ def clips(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") ->
     return files.select(F.col(id_col).cast("long").alias("doc_id"), F.col(media_col).alias("media")).mapInArrow(run, "doc_id long, clip int, first_frame long, n_frames long, start_s double, end_s double, error string")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write each text's file, read it back, and return digests and the shots as a string."""
+def read_back(files: DataFrame) -> DataFrame:
+    """Digests of the payloads in the files of ``media``, of the files themselves, and the shots as a string."""
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def run(batches):
-        for block in blocks(batches, "text"):
-            data, off = flat(block.column("text"))
-            raw, out = data.tobytes(), []
-            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-                file = encode_avi(payload_of(raw[a:b]))
+        for batch in batches:
+            out = []
+            for data in batch.column("media"):
+                file = data.as_py()
                 avi = Avi(file)
                 greys = avi.greys()
                 back = greys.tobytes()[: avi.payload]
                 feature = ";".join(f"{s:.2f}-{e:.2f}" for _, _, _, s, e in shots(greys, avi.fps))
-                out.append((b - a, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(file), hashlib.sha256(file).hexdigest(), feature))
-            names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), *(pa.array(list(x)) for x in zip(*out, strict=True))], ["doc_id", *names])
+                out.append((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(file), hashlib.sha256(file).hexdigest(), feature))
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(list(x)) for x in zip(*out, strict=True))], ["doc_id", "n_bytes", *names])
+
+    return files.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each text's file as a column, and what is read back from that column."""
+    return read_back(media(docs, id_col, text_col))

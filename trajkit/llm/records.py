@@ -7,10 +7,11 @@ rotates a CRC right by 15 bits and adds ``MASK``, so checksums of data that hold
 sound.  Beside each ``.rec`` file an ``.idx`` file has, per record, doc_id (signed 64 bits), a flag
 for a null doc_id, the record's place and its number of ids: any record can be read by itself.
 
-Files follow each other by ascending doc_id (null first, equal ids by text), as do the records in
-them.  A task writes to a name of its own and only the names in the manifest count, so a task that
+Files follow each other by ascending doc_id (null first, equal ids by a hash of the text), as do the
+records in them; an id that many rows share may span several files.  A task writes to a name of its own and only the names in the manifest count, so a task that
 runs twice does no harm.  Null texts count as empty; such a document still has its end id.
-Repeated rows are written as often as they occur.  Other columns are left out.
+Repeated rows are written as often as they occur; very long texts are written whole; an empty table
+gives an empty manifest and no file.  Other columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -106,7 +107,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 1,
             yield pa.RecordBatch.from_pydict({"file_no": [TaskContext.get().partitionId()], "path": [f"{folder}/{base}"], "width": pa.array([width], pa.int32()), "n_docs": [n], "n_ids": [total]})
 
     two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = two.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # an id that very many rows share spreads over several files, by its texts and then by the rows themselves
+    by = two.select("*", F.xxhash64("text").alias("of_text"), F.monotonically_increasing_id().alias("row"))
+    ordered = by.repartitionByRange("doc_id", "of_text", "row").sortWithinPartitions("doc_id", "of_text", "row").drop("of_text", "row")
     return written(ordered.mapInArrow(run, MANIFEST), "records-manifest")
 
 
