@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of ``documents``.  ``run`` writes each stage's result to the shared folder and reads it again for
 the next one, so a lost executor never sends the work back over earlier stages.
+
+All stages keep the columns of their input as they are, whatever their names, but for ``text`` and
+``n_chars`` where personal data is replaced; the last returns packing's own. An empty table gives an
+empty result in every stage. Null and empty texts are scored as empty texts, link with nothing, hold
+no personal data and are packed as an end id alone. Repeated rows are judged alike: the classifiers
+and the replacing keep as many as come in, near duplicates keep all rows of a doc_id that stays, and
+each row is packed. Very long texts are read whole in every stage.
 """
 
 from __future__ import annotations
@@ -22,7 +29,10 @@ BATCH_ROWS = 2000
 
 
 def lean(stage):
-    """``stage`` with batches of ``BATCH_ROWS`` rows."""
+    """``stage`` with batches of ``BATCH_ROWS`` rows.
+
+    A stage's result is computed after the stage has returned, so the setting stays in the session.
+    """
 
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
