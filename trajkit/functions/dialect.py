@@ -59,8 +59,10 @@ class Dialect:
         return f"(sqrt(-2 * ln({self.uniform(*parts, "'a'")})) * cos(2 * pi() * {self.uniform(*parts, "'b'")}))"
 
     def haversine(self, a: str, b: str, c: str, d: str) -> str:
-        half = self.f(0.5)
-        return f"(2 * {self.f(EARTH_M)} * asin(sqrt(least({self.f(1)}, power(sin(radians({c} - {a}) * {half}), 2) + cos(radians({a})) * cos(radians({c})) * power(sin(radians({d} - {b}) * {half}), 2)))))"
+        """Metres between two places; null where a part of one is (least() would pass over it)."""
+        half, one = self.f(0.5), self.f(1)
+        h = f"(power(sin(radians({c} - {a}) * {half}), 2) + cos(radians({a})) * cos(radians({c})) * power(sin(radians({d} - {b}) * {half}), 2))"
+        return f"(2 * {self.f(EARTH_M)} * asin(sqrt(CASE WHEN {h} > {one} THEN {one} ELSE {h} END)))"
 
     def bearing(self, a: str, b: str, c: str, d: str) -> str:
         y = f"sin(radians({d} - {b})) * cos(radians({c}))"

@@ -1,4 +1,4 @@
-"""Spatial joins on grid cells, so that only points of touching cells meet."""
+"""Spatial joins on grid cells, so that only points and lines of touching cells meet."""
 
 from __future__ import annotations
 
@@ -8,27 +8,89 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajkit.functions.dialect import EARTH_M
+from trajkit.session import sent_if_small, written
 
 
 def haversine(a: Column, b: Column, c: Column, d: Column) -> Column:
     h = F.pow(F.sin(F.radians(c - a) * 0.5), 2) + F.cos(F.radians(a)) * F.cos(F.radians(c)) * F.pow(F.sin(F.radians(d - b) * 0.5), 2)
-    return 2.0 * EARTH_M * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return 2.0 * EARTH_M * F.asin(F.sqrt(F.when(h > 1.0, 1.0).otherwise(h)))  # null stays null, as least() would not have it
 
 
-def within(left: DataFrame, right: DataFrame, radius_m: float, k: int | None = None, max_lat: float = 80.0) -> DataFrame:
+#: Rows of a cell's left side that meet its right side in one task.
+CROWD = 4096
+
+
+def bearing(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Degrees from north, 0 to 360, of the way from (a, b) to (c, d)."""
+    y = F.sin(F.radians(d - b)) * F.cos(F.radians(c))
+    x = F.cos(F.radians(a)) * F.sin(F.radians(c)) - F.sin(F.radians(a)) * F.cos(F.radians(c)) * F.cos(F.radians(d - b))
+    raw = F.degrees(F.atan2(y, x)) + 360
+    return raw - 360 * F.floor(raw / 360)
+
+
+def projected(lat: Column, lon: Column, a: Column, b: Column, c: Column, d: Column) -> Column:
+    """``dist, lat, lon, share`` of the point of the segment (a, b)-(c, d) nearest to (lat, lon), in a plane at the latter."""
+    k = math.pi * EARTH_M / 180
+    wide = F.cos(F.radians(lat))
+    ay, ax, dy, dx = (a - lat) * k, (b - lon) * k * wide, (c - a) * k, (d - b) * k * wide
+    t = F.when(dx * dx + dy * dy > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(ax * dx + ay * dy) / (dx * dx + dy * dy)))).otherwise(F.lit(0.0))
+    dist = F.sqrt((ax + t * dx) * (ax + t * dx) + (ay + t * dy) * (ay + t * dy))
+    return F.struct(dist.alias("dist"), (a + t * (c - a)).alias("lat"), (b + t * (d - b)).alias("lon"), t.alias("share"))
+
+
+def nearest_segment(points: DataFrame, segments: DataFrame, *key: str, least: float = 0.002) -> DataFrame:
+    """``id, part, dist, lat, lon``: for each point (``id, *key, lat, lon``) the nearest segment of its line.
+
+    ``segments``: ``*key, part, alat, alon, blat, blon``; ties go to the smaller part, points of lines without
+    segments are left out. Segments are laid into the grid cells that their box covers, points look into
+    the 3x3 cells around theirs; what lies farther than a cell, or finds nothing, meets its whole line. A
+    cell is as wide as two mean segments, ``least`` degrees at least, so a segment covers few cells.
+    """
+    extent = segments.agg(F.avg(F.greatest(F.abs(F.col("alat") - F.col("blat")), F.abs(F.col("alon") - F.col("blon"))))).first()[0]
+    cell = max(least, 2 * (extent or 0.0))
+    span = lambda p, q: F.explode(F.sequence(F.floor(F.least(p, q) / cell), F.floor(F.greatest(p, q) / cell)))
+    laid = segments.withColumn("i", span("alat", "blat")).withColumn("j", span("alon", "blon"))
+    near = F.array(*(F.lit(x) for x in (-1, 0, 1)))
+    looks = points.withColumn("di", F.explode(near)).withColumn("dj", F.explode(near))
+    looks = looks.withColumn("i", F.floor(F.col("lat") / cell) + F.col("di")).withColumn("j", F.floor(F.col("lon") / cell) + F.col("dj")).drop("di", "dj")
+    at = projected(*(F.col(c) for c in ("lat", "lon", "alat", "alon", "blat", "blon")))
+
+    def best(pairs: DataFrame) -> DataFrame:
+        met = pairs.select("id", "part", at.alias("p"))
+        return met.groupBy("id").agg(F.min(F.struct("p.dist", "part", "p.lat", "p.lon")).alias("m")).select("id", "m.part", "m.dist", "m.lat", "m.lon")
+
+    found = best(looks.join(laid, [*key, "i", "j"]))
+    reach = F.lit(cell * math.pi * EARTH_M / 180) * F.cos(F.radians("lat")) * 0.999
+    sure = found.join(points.select("id", reach.alias("reach")), "id").filter("dist <= reach").drop("reach")
+    left = points.join(sure.select("id"), "id", "left_anti")
+    return sure.unionByName(best(left.join(segments, list(key))))
+
+
+def within(left: DataFrame, right: DataFrame, radius_m: float, k: int | None = None, max_lat: float = 89.0) -> DataFrame:
     """``left_id, right_id, dist, rank`` of pairs of ``id, lat, lon`` rows at most ``radius_m`` apart, with ``k`` the nearest only.
 
-    Cells are as high as the radius and as wide as it is at ``max_lat`` degrees or less from the
-    equator, so a right row sent to the 3x3 cells around it meets every left row within the radius.
+    Cells are as high as the radius and as wide as it is at the left rows' farthest latitude, so a right
+    row sent to the 3x3 cells around it meets every left row within the radius; cells go round the globe,
+    so the 180th meridian is no border. Left rows nearer to a pole than ``max_lat`` allows raise an error.
     """
     lat_step = math.degrees(radius_m / EARTH_M) * 1.0001
-    bound = left.select(F.max(F.abs("lat")).alias("m")).first()["m"]
-    lon_step = lat_step / max(math.cos(math.radians(min(max_lat, (bound or 0.0) + lat_step))), 1e-3)
-    cell = lambda df: df.select("id", "lat", "lon", F.floor(F.col("lat") / lat_step).alias("i"), F.floor(F.col("lon") / lon_step).alias("j"))
+    bound = left.select(F.max(F.abs("lat")).alias("m")).first()["m"] or 0.0
+    if bound + lat_step > max_lat:
+        raise ValueError(f"points beyond {max_lat} degrees from the equator need a larger max_lat (below 90)")
+    n_lon = math.floor(360 / (lat_step / math.cos(math.radians(bound + lat_step))))  # cells around the globe: the last touches the first
+    lon_step = 360 / max(n_lon, 1)
+    cell = lambda df: df.select("id", "lat", "lon", F.floor(F.col("lat") / lat_step).alias("i"), F.pmod(F.floor(F.col("lon") / lon_step), F.lit(n_lon)).alias("j"))
     near = F.array(*(F.lit(x) for x in (-1, 0, 1)))
-    r = cell(right).withColumn("di", F.explode(near)).withColumn("dj", F.explode(near))
-    r = r.select((F.col("i") + F.col("di")).alias("i"), (F.col("j") + F.col("dj")).alias("j"), F.col("id").alias("right_id"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
-    pairs = cell(left).join(r, ["i", "j"]).select(F.col("id").alias("left_id"), "right_id", haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon")).alias("dist"))
+    turn = F.array(*(F.lit(x) for x in ((-1, 0, 1) if n_lon > 2 else range(n_lon))))
+    r = cell(right).withColumn("di", F.explode(near)).withColumn("dj", F.explode(turn))
+    r = r.select((F.col("i") + F.col("di")).alias("i"), F.pmod(F.col("j") + F.col("dj"), F.lit(n_lon)).alias("j"), F.col("id").alias("right_id"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
+    own = cell(left)
+    # a crowded cell's left side is dealt into parts, and its right side goes to each of them
+    crowd = own.groupBy("i", "j").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("parts")).filter("parts > 1")
+    crowd = sent_if_small(written(crowd, "spatial-crowd"))
+    own = own.join(crowd, ["i", "j"], "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    r = r.join(crowd, ["i", "j"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    pairs = own.join(r, ["i", "j", "part"]).select(F.col("id").alias("left_id"), "right_id", haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon")).alias("dist"))
     pairs = pairs.filter(F.col("dist") <= radius_m)
     if k is None:
         return pairs

@@ -153,12 +153,6 @@ def repaired_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.repaired_times(spark.sql(f"WITH {v.gps(d)} SELECT trip_id, seq, us + CAST(round({d.normal('7', 'user_id', 'seq')} * 3600000000) AS BIGINT) AS us FROM gps"))
 
 
-def motion_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points of trips whose legs are the days' segments."""
-    d = SparkSql(sf_dir)
-    return folds.motion(spark.sql(f"WITH {v.segments(d)} SELECT 'trip_' || lpad(CAST(user_id AS STRING), 6, '0') AS trip_id, segment_id AS leg, mode, 200 + (user_id * 37 + segment_id * 101) % 1500 AS length_m FROM segments"))
-
-
 def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     found = trips.sessions(events, "user_id", "ts", gap="6 hours")
@@ -180,7 +174,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(te
     "route_pair_anchors_120m": route_pair_anchors_120m,
     "mojibake_repair": mojibake_repair,
     "repaired_times": repaired_times,
-    "motion_points": motion_points,
     "event_sessions": event_sessions,
 }
 ORACLE_SQL: dict[str, str] = {name: text(_D) for name, text in SQL.items()} | {
@@ -188,6 +181,8 @@ ORACLE_SQL: dict[str, str] = {name: text(_D) for name, text in SQL.items()} | {
     "shortest_routes": f"{_REACHED} SELECT query_id, 'OK' AS status, distance FROM s",
     "route_pair_anchors_120m": f"""WITH {v.places(_D, "customer", "c_custkey", "p")}, m AS (SELECT a.id AS stop_a, b.id AS stop_b, {_D.haversine("a.lat", "a.lon", "b.lat", "b.lon")} AS dist FROM p a JOIN p b ON a.id <> b.id JOIN customer x ON x.c_custkey = a.id JOIN customer y ON y.c_custkey = b.id AND x.c_nationkey <> y.c_nationkey)
         SELECT stop_a, stop_b, round(dist, 2) AS distance_m FROM m WHERE dist <= 120""",
+    "repaired_times": f"""WITH RECURSIVE {v.gps(_D)}, g AS (SELECT trip_id, seq, us + CAST(round({_D.normal('7', 'user_id', 'seq')} * 3600000000) AS BIGINT) AS us FROM gps),
+        r AS (SELECT trip_id, seq, us FROM g WHERE seq = 0 UNION ALL SELECT g.trip_id, g.seq, CASE WHEN g.us <= r.us THEN r.us + 100000 ELSE g.us END FROM r JOIN g ON g.trip_id = r.trip_id AND g.seq = r.seq + 1) SELECT trip_id, seq, us FROM r""",
     "mojibake_repair": "SELECT doc_id, sha256(coalesce(text, '')) AS sha256 FROM documents",
     "event_sessions": """WITH e AS (SELECT user_id, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events WHERE ts IS NOT NULL),
         g AS (SELECT *, sum(CASE WHEN before IS NULL OR us - before >= 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS part FROM e)

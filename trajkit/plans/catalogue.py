@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trajkit.functions.dialect import Dialect, SparkSql
 from trajkit.operators import graph, spatial
-from trajkit.plans import audits
+from trajkit.plans import audits, drive
 from trajkit.plans import views as v
 
 SQL: dict[str, Callable[[Dialect], str]] = {}
@@ -232,11 +232,6 @@ def failure_reasons(d):
     return f"""WITH r AS (SELECT DISTINCT o_custkey AS id, o_orderpriority AS reason FROM {d.t("orders")} WHERE o_orderstatus <> 'O'), k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY reason) AS rn FROM r) SELECT id, {d.joined("reason", "rn", "; ")} AS reasons FROM k WHERE rn <= 3 GROUP BY id"""
 
 
-@query
-def tag_access_predicates(d):
-    return f"""WITH w AS (SELECT p_partkey AS id, lower(trim(p_type)) AS tag, p_size FROM {d.t("part")}) SELECT id, p_size % 7 IN (0, 1) AS blocked, CASE p_size % 4 WHEN 0 THEN 1 WHEN 1 THEN -1 ELSE 0 END AS oneway, tag LIKE '%steel%' OR tag LIKE '%brass%' AS allowed FROM w"""
-
-
 @query
 def maxspeed_parse(d):
     return f"""WITH x AS (SELECT p_partkey AS id, CAST(p_size AS STRING) || CASE WHEN p_partkey % 3 = 0 THEN ' mph' ELSE '' END AS raw FROM {d.t("part")}), n AS (SELECT id, raw, CAST({d.only("raw", "0-9.")} AS DOUBLE) AS num FROM x) SELECT id, raw, round(least({d.f(33.3)}, CASE WHEN raw LIKE '%mph%' THEN num * {d.f(0.44704)} ELSE num / {d.f(3.6)} END), 6) AS mps FROM n"""
@@ -250,8 +245,8 @@ def hash_uniform_noise(d):
 @query
 def observe_v1(d):
     n = lambda k: d.normal("2026", "user_id", "seq", f"'{k}'")
-    return f"""WITH {v.gps(d)}, k AS (SELECT *, {d.uniform("2026", "user_id", "seq", "'drop'")} AS drop_u FROM gps),
-        o AS (SELECT user_id, seq, lat + {n("lat")} * 4 / 111000 AS lat, lon + {n("lon")} * 4 / (111000 * greatest({d.f(0.1)}, cos(radians(lat)))) AS lon, us + CAST(round({n("t")} * 200000) AS BIGINT) AS t, greatest({d.f(0)}, speed + {n("v")} * {d.f(0.4)}) AS speed FROM k WHERE drop_u >= {d.f(0.03)}),
+    return f"""WITH {v.gps(d)}, k AS (SELECT *, {d.uniform("2026", "user_id", "seq", "'drop'")} AS drop_u, max(seq) OVER (PARTITION BY user_id) AS last FROM gps),
+        o AS (SELECT user_id, seq, lat + {n("lat")} * 4 / 111000 AS lat, lon + {n("lon")} * 4 / (111000 * greatest({d.f(0.1)}, cos(radians(lat)))) AS lon, us + CAST(round({n("t")} * 200000) AS BIGINT) AS t, greatest({d.f(0)}, speed + {n("v")} * {d.f(0.4)}) AS speed FROM k WHERE drop_u >= {d.f(0.03)} OR seq = 0 OR seq = last),
         r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq) - 1 AS i FROM o)
         SELECT user_id, i AS seq, round(lat, 6) AS lat, round(lon, 6) AS lon, round(speed, 3) AS speed, max(t - i * 100000) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + i * 100000 AS us FROM r"""
 
@@ -262,11 +257,6 @@ def journey_seeding(d):
         CASE WHEN {d.uniform("42026", "k", "'n'")} < 0.2 THEN 'low' WHEN {d.uniform("42026", "k", "'n'")} < 0.8 THEN 'medium' ELSE 'high' END AS noise FROM n"""
 
 
-@query
-def hard_case_schedule(d):
-    return f"""WITH c AS (SELECT c_custkey - 1 AS k FROM {d.t("customer")}) SELECT k AS offset_no, k % 5 AS hard_case FROM c WHERE k % 20 = 0"""
-
-
 @query
 def time_band_factor(d):
     return f"""WITH h AS (SELECT event_id, CAST(floor({d.us("ts")} / {d.f(3600e6)}) AS BIGINT) % 24 AS hr FROM {d.t("events")}) SELECT event_id, hr, round(CASE WHEN hr >= 7 AND hr < 10 THEN {d.f(0.7)} WHEN hr >= 17 AND hr < 20 THEN {d.f(0.65)} WHEN hr >= 22 OR hr < 5 THEN {d.f(1.15)} ELSE {d.f(1)} END * ({d.f(0.9)} + {d.f(0.2)} * {d.uniform("7", "event_id")}), 6) AS factor FROM h"""
@@ -283,11 +273,6 @@ def point_at_distance(d):
         x AS (SELECT trip_id, seq, lat0 + (lat - lat0) * (5000 - (along - dist)) / dist AS plat, lon0 + (lon - lon0) * (5000 - (along - dist)) / dist AS plon, row_number() OVER (PARTITION BY trip_id ORDER BY seq) AS rn FROM c WHERE dist > 0 AND along >= 5000 AND along - dist < 5000) SELECT trip_id, seq, round(plat, 6) AS lat, round(plon, 6) AS lon FROM x WHERE rn = 1"""
 
 
-@query
-def leakage_exact_text(d):
-    return f"""SELECT d.doc_id, b.item_id FROM {d.t("documents")} d JOIN {d.t("benchmark")} b ON d.text = b.text"""
-
-
 @query
 def event_property_histogram(d):
     return f"""SELECT event_type, {d.json_int("props", "k")} % 10 AS k, count(*) AS n FROM {d.t("events")} GROUP BY event_type, {d.json_int("props", "k")} % 10"""
@@ -368,6 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(te
     "knn_stations": knn_stations,
     "transfer_anchors_within_150m": transfer_anchors_within_150m,
     **audits.QUERIES,
+    **drive.QUERIES,
 }
 ORACLE_SQL: dict[str, str] = {name: text(Dialect()) for name, text in SQL.items()} | {
     "connected_components": f"""WITH RECURSIVE {v.edges(Dialect())}, adj AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges), reach AS (SELECT DISTINCT a AS node, a AS seen FROM adj UNION SELECT r.node, e.b FROM reach r JOIN adj e ON r.seen = e.a) SELECT node, min(seen) AS component FROM reach GROUP BY node""",
@@ -375,4 +361,5 @@ ORACLE_SQL: dict[str, str] = {name: text(Dialect()) for name, text in SQL.items(
     "knn_stations": _near_sql(1500.0, 5, "left_id AS id, rank, right_id AS station, round(dist, 2) AS distance_m"),
     "transfer_anchors_within_150m": _near_sql(150.0, None, "left_id AS stop, right_id AS station, round(dist, 2) AS distance_m"),
     **audits.ORACLE_SQL,
+    **drive.ORACLE_SQL,
 }
