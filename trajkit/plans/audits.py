@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajkit.functions.dialect import Dialect, SparkSql
 from trajkit.operators import folds, graph, routing, spatial
 from trajkit.plans import views as v
+from trajkit.session import written
 from trajkit.sources import files
 from trajkit.streaming import trips
 
@@ -26,8 +27,7 @@ def _day(d: Dialect, us: str) -> str:
     return f"CAST(floor({us} / {d.f(86400e6)}) AS BIGINT)"
 
 
-@query
-def point_to_polyline(d):
+def _polyline_sql(d: Dialect) -> str:
     """Distance of each fix to the line through its day's true points, in a plane at the fix."""
     k = d.f(111194.92664455873)
     return f"""WITH {v.gps(d)}, p AS (SELECT user_id, {_day(d, "us")} AS day, event_id, seq, lat, lon FROM gps),
@@ -38,6 +38,18 @@ def point_to_polyline(d):
         SELECT event_id, round(min(sqrt((ax + t * dx) * (ax + t * dx) + (ay + t * dy) * (ay + t * dy))), 2) AS distance_m, min(sqrt((ax + t * dx) * (ax + t * dx) + (ay + t * dy) * (ay + t * dy))) <= 35 AS near FROM f GROUP BY event_id"""
 
 
+def point_to_polyline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of each fix to the line through its day's true points, in a plane at the fix."""
+    d = SparkSql(sf_dir)
+    points = spark.sql(f"WITH {v.gps(d)} SELECT event_id AS id, user_id, {_day(d, 'us')} AS day, seq, lat, lon FROM gps")
+    w = Window.partitionBy("user_id", "day").orderBy("seq")
+    true = points.filter("id % 2 = 1").withColumn("q", F.lead(F.struct("lat", "lon")).over(w))
+    part = F.row_number().over(w)
+    lines = true.select("user_id", "day", part.alias("part"), F.col("lat").alias("alat"), F.col("lon").alias("alon"), F.coalesce("q.lat", "lat").alias("blat"), F.coalesce("q.lon", "lon").alias("blon"))
+    found = spatial.nearest_segment(points.drop("seq"), written(lines, "polyline-lines"), "user_id", "day")
+    return found.select(F.col("id").alias("event_id"), F.round("dist", 2).alias("distance_m"), (F.col("dist") <= 35).alias("near"))
+
+
 @query
 def polyline_resample(d):
     """Points at every multiple of the spacing along each trip's line, and its first and last vertex; a line has two vertices at least."""
@@ -169,6 +181,7 @@ _REACHED = f"""WITH RECURSIVE w AS ({weighted(_D)}), q AS ({asked(_D)}), adj AS
     s AS (SELECT q.src AS query_id, min(r.d) AS distance FROM q JOIN r ON r.query_id = q.src AND r.node = q.dst GROUP BY q.src)"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(text) for name, text in SQL.items()} | {
+    "point_to_polyline": point_to_polyline,
     "shortest_distances": shortest_distances,
     "shortest_routes": shortest_routes,
     "route_pair_anchors_120m": route_pair_anchors_120m,
@@ -177,6 +190,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(te
     "event_sessions": event_sessions,
 }
 ORACLE_SQL: dict[str, str] = {name: text(_D) for name, text in SQL.items()} | {
+    "point_to_polyline": _polyline_sql(_D),
     "shortest_distances": f"{_REACHED} SELECT query_id, distance FROM s",
     "shortest_routes": f"{_REACHED} SELECT query_id, 'OK' AS status, distance FROM s",
     "route_pair_anchors_120m": f"""WITH {v.places(_D, "customer", "c_custkey", "p")}, m AS (SELECT a.id AS stop_a, b.id AS stop_b, {_D.haversine("a.lat", "a.lon", "b.lat", "b.lon")} AS dist FROM p a JOIN p b ON a.id <> b.id JOIN customer x ON x.c_custkey = a.id JOIN customer y ON y.c_custkey = b.id AND x.c_nationkey <> y.c_nationkey)

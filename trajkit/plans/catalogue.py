@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trajkit.functions.dialect import Dialect, SparkSql
-from trajkit.operators import graph, spatial
-from trajkit.plans import audits, drive
+from trajkit.operators import arrays, graph, quantiles, reports, spatial
+from trajkit.plans import audits, drive, rules
 from trajkit.plans import views as v
+from trajkit.session import written
 
 SQL: dict[str, Callable[[Dialect], str]] = {}
 
@@ -19,15 +21,6 @@ def query(f: Callable[[Dialect], str]) -> Callable[[Dialect], str]:
     return f
 
 
-@query
-def physical_profile_by_mode(d):
-    return f"""WITH {v.motion(d)}, {v.segments(d)},
-        m AS (SELECT s.mode, a.implied, a.acc, a.dt FROM accel a JOIN segments s ON a.user_id = s.user_id AND CAST(floor(a.us / {d.f(86400e6)}) AS BIGINT) = s.day AND a.us BETWEEN s.start_us AND s.end_us WHERE a.dt > 0)
-        SELECT mode, count(*) AS intervals, round({d.pct("implied", 0.5)}, 3) AS median_mps, round({d.pct("implied", 0.95)}, 3) AS p95_mps, round(max(implied), 3) AS max_mps,
-        round(max(abs(acc)), 3) AS max_abs_accel, count(CASE WHEN implied > CASE mode WHEN 'walk' THEN 8 WHEN 'bike' THEN 20 WHEN 'car' THEN 50 WHEN 'bus' THEN 35 ELSE 80 END THEN 1 END) AS over_limit,
-        count(CASE WHEN abs(acc) > 8 THEN 1 END) AS accel_over_8 FROM m GROUP BY mode"""
-
-
 @query
 def gps_implied_motion(d):
     return f"""WITH {v.motion(d)} SELECT trip_id, seq, round(dt, 3) AS dt_s, round(dist, 3) AS dist_m, round(bearing, 3) AS bearing_deg, round(implied, 4) AS implied_mps, round(acc, 5) AS accel FROM accel"""
@@ -49,9 +42,9 @@ def gps_contract_checks(d):
 
 @query
 def check_rollup(d):
-    return f"""WITH {v.motion(d)}, c AS (SELECT 'monotone_time' AS name, coalesce(bool_and(dt > 0 OR us0 IS NULL), false) AS ok FROM motion GROUP BY trip_id
-        UNION ALL SELECT 'speed', coalesce(bool_and(speed BETWEEN 0 AND 35), false) FROM motion GROUP BY trip_id UNION ALL SELECT 'interval', coalesce(bool_and(dt BETWEEN 3.5 AND 35 OR us0 IS NULL), false) FROM motion GROUP BY trip_id)
-        SELECT name, count(CASE WHEN ok THEN 1 END) AS passed, count(CASE WHEN NOT ok THEN 1 END) AS failed, CASE WHEN bool_and(ok) THEN 'PASS' ELSE 'FAIL' END AS status FROM c GROUP BY name"""
+    return f"""WITH {v.motion(d)}, t AS (SELECT trip_id, coalesce(bool_and(dt > 0 OR us0 IS NULL), false) AS a, coalesce(bool_and(speed BETWEEN 0 AND 35), false) AS b, coalesce(bool_and(dt BETWEEN 3.5 AND 35 OR us0 IS NULL), false) AS c FROM motion GROUP BY trip_id),
+        r AS (SELECT name, CASE name WHEN 'monotone_time' THEN a WHEN 'speed' THEN b ELSE c END AS ok FROM t CROSS JOIN (VALUES ('monotone_time'), ('speed'), ('interval')) AS x(name))
+        SELECT name, count(CASE WHEN ok THEN 1 END) AS passed, count(CASE WHEN NOT ok THEN 1 END) AS failed, CASE WHEN bool_and(ok) THEN 'PASS' ELSE 'FAIL' END AS status FROM r GROUP BY name"""
 
 
 @query
@@ -140,12 +133,6 @@ def coverage_summary(d):
         SELECT CASE WHEN stops = routable THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS routes, CAST(sum(greatest(stops - 1, 0)) AS BIGINT) AS pairs FROM r GROUP BY CASE WHEN stops = routable THEN 'PASS' ELSE 'FAIL' END"""
 
 
-@query
-def subsequence_membership(d):
-    return f"""WITH {v.stops(d)}, seqs AS (SELECT route, '>' || {d.joined("CAST(stop AS STRING)", "pos", ">")} || '>' AS path FROM stops GROUP BY route), pairs AS (SELECT route, pos, stop, lead(stop) OVER (PARTITION BY route ORDER BY pos) AS nxt FROM stops)
-        SELECT p.route, p.pos, (s.path LIKE '%>' || CAST(p.stop AS STRING) || '>' || CAST(p.nxt AS STRING) || '>%') AS forward, (s.path LIKE '%>' || CAST(p.nxt AS STRING) || '>' || CAST(p.stop AS STRING) || '>%') AS backward FROM pairs p JOIN seqs s ON s.route = p.route WHERE p.nxt IS NOT NULL"""
-
-
 @query
 def order_test(d):
     return f"""WITH {v.stops(d)}, w AS (SELECT route, stop, lag(stop) OVER (PARTITION BY route ORDER BY pos) AS before FROM stops) SELECT route, coalesce(bool_and(before IS NULL OR stop > before), false) AS in_order, count(DISTINCT stop) = count(*) AS all_distinct FROM w GROUP BY route"""
@@ -182,7 +169,8 @@ def mode_sequence_histogram(d):
 
 @query
 def diversity_audit(d):
-    return f"""WITH {v.gps(d)}, {v.segments(d)}, m AS (SELECT s.mode, s.user_id, s.segment_id, count(*) AS pts, CAST(round(min(g.lat), 3) AS STRING) || ',' || CAST(round(max(g.lat), 3) AS STRING) AS od, (max(g.us) - min(g.us)) / 1000000 AS dur FROM gps g JOIN segments s ON s.user_id = g.user_id AND s.day = CAST(floor(g.us / {d.f(86400e6)}) AS BIGINT) GROUP BY s.mode, s.user_id, s.segment_id)
+    end = lambda f: f"CAST(round({f}(g.lat, g.seq), 4) AS STRING) || ',' || CAST(round({f}(g.lon, g.seq), 4) AS STRING)"
+    return f"""WITH {v.gps(d)}, {v.segments(d)}, m AS (SELECT s.mode, s.user_id, s.segment_id, count(*) AS pts, {end("min_by")} || '>' || {end("max_by")} AS od, (max(g.us) - min(g.us)) / {d.f(1e6)} AS dur FROM gps g JOIN segments s ON s.user_id = g.user_id AND s.day = CAST(floor(g.us / {d.f(86400e6)}) AS BIGINT) GROUP BY s.mode, s.user_id, s.segment_id)
         SELECT mode, count(*) AS segments, count(DISTINCT od) AS distinct_od, min(pts) AS min_points, max(pts) AS max_points, CAST(min(floor(dur)) AS BIGINT) AS min_s, CAST(max(floor(dur)) AS BIGINT) AS max_s FROM m GROUP BY mode"""
 
 
@@ -203,7 +191,8 @@ def schema_profile(d):
 
 @query
 def tag_histogram(d):
-    return f"""WITH c AS (SELECT lower(trim(p_type)) AS tag, count(*) AS n FROM {d.t("part")} GROUP BY lower(trim(p_type))), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, tag) AS rank FROM c) SELECT tag, n, rank FROM r WHERE rank <= 30"""
+    return f"""WITH c AS (SELECT lower(trim(p_type)) AS tag, count(*) AS n FROM {d.t("part")} GROUP BY lower(trim(p_type))), t AS (SELECT tag, n FROM c ORDER BY n DESC, tag LIMIT 30)
+        SELECT tag, n, row_number() OVER (ORDER BY n DESC, tag) AS rank FROM t"""
 
 
 @query
@@ -216,12 +205,6 @@ def sample_first_per_category(d):
     return f"""WITH {v.segments(d)}, r AS (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY user_id, segment_id) AS rn FROM segments) SELECT mode, user_id, segment_id FROM r WHERE rn = 1"""
 
 
-@query
-def sample_short_mid_long(d):
-    return f"""WITH {v.gps(d)}, c AS (SELECT user_id, count(*) AS pts FROM gps GROUP BY user_id), r AS (SELECT *, row_number() OVER (ORDER BY pts, user_id) AS rn, count(*) OVER () AS n FROM c)
-        SELECT user_id, pts, CASE WHEN rn <= 2 THEN 'short' WHEN rn > n - 2 THEN 'long' ELSE 'middle' END AS kind FROM r WHERE rn <= 2 OR rn > n - 2 OR rn BETWEEN floor(n / {d.f(2)}) AND floor(n / {d.f(2)}) + 1"""
-
-
 @query
 def line_rollup_with_total(d):
     return f"""WITH g AS (SELECT l_returnflag AS line, count(*) AS n, count(CASE WHEN l_quantity > 25 THEN 1 END) AS passed FROM {d.t("lineitem")} GROUP BY l_returnflag) SELECT line, n, passed FROM g UNION ALL SELECT 'TOTAL', CAST(sum(n) AS BIGINT), CAST(sum(passed) AS BIGINT) FROM g"""
@@ -278,23 +261,6 @@ def event_property_histogram(d):
     return f"""SELECT event_type, {d.json_int("props", "k")} % 10 AS k, count(*) AS n FROM {d.t("events")} GROUP BY event_type, {d.json_int("props", "k")} % 10"""
 
 
-@query
-def time_range_by_category(d):
-    return f"""SELECT event_type, min({d.us("ts")}) AS first_us, max({d.us("ts")}) AS last_us, round({d.disc("value", 0.95)}, 3) AS p95 FROM {d.t("events")} GROUP BY event_type"""
-
-
-@query
-def mutation_detection(d):
-    one = "user_id % 10 = 0 AND seq = 1"
-    def run(name: str, change: str, rule: str) -> str:  # noqa: E306
-        return f"SELECT '{name}' AS mutation, coalesce(bool_or({rule}), false) AS detected FROM (SELECT user_id, seq, lag(us2) OVER (PARTITION BY user_id ORDER BY seq) AS us0, us2, lat2, speed2, accuracy2, seq2, lag(seq2) OVER (PARTITION BY user_id ORDER BY seq) AS seq0 FROM (SELECT user_id, seq, {change} FROM gps) a) b"
-    base = {"us2": "us", "lat2": "lat", "speed2": "speed", "accuracy2": "accuracy", "seq2": "seq"}
-    def changed(col: str, to: str) -> str:  # noqa: E306
-        return ", ".join((f"CASE WHEN {one} THEN {to} ELSE {x} END" if c == col else x) + f" AS {c}" for c, x in base.items())
-    kinds = [("reversed_time", "us2", "us - 100000000000000", "us2 <= us0"), ("latitude_out_of_range", "lat2", d.f(95), "lat2 NOT BETWEEN -90 AND 90"), ("negative_speed", "speed2", d.f(-1), "speed2 NOT BETWEEN 0 AND 35"), ("speed_too_high", "speed2", d.f(81), "speed2 NOT BETWEEN 0 AND 35"), ("zero_accuracy", "accuracy2", d.f(0), "accuracy2 <= 0"), ("sequence_gap", "seq2", "seq + 5", "seq2 <> seq0 + 1"), ("no_change", "none", "", "us2 <= us0 OR lat2 NOT BETWEEN -90 AND 90 OR speed2 NOT BETWEEN 0 AND 35 OR accuracy2 <= 0 OR seq2 <> seq0 + 1")]
-    return f"WITH {v.gps(d)} " + " UNION ALL ".join(run(n, changed(c, to), rule) for n, c, to, rule in kinds)
-
-
 @query
 def release_gate(d):
     return f"""WITH {v.motion(d)}, c AS (SELECT coalesce(bool_and(dt > 0 OR us0 IS NULL), false) AS time_ok, coalesce(bool_and(speed BETWEEN 0 AND 35), false) AS speed_ok, count(DISTINCT user_id) AS trips, count(*) AS points FROM motion) SELECT trips, points, time_ok, speed_ok, CASE WHEN time_ok AND speed_ok THEN 'PASS' ELSE 'FAIL' END AS gate FROM c"""
@@ -318,6 +284,75 @@ def _sql(spark: SparkSession, sf_dir: str, text: Callable[[Dialect], str]) -> Da
     return spark.sql(text(SparkSql(sf_dir)))
 
 
+LIMITS = {"walk": 8, "bike": 20, "car": 50, "bus": 35, "rail": 80, "unknown": 100}
+
+
+def _intervals(d: Dialect) -> str:
+    """Each fix with the one before and the mode of the day's segment that it falls into, unknown outside."""
+    day = f"CAST(floor(a.us / {d.f(86400e6)}) AS BIGINT)"
+    return f"""WITH {v.motion(d)}, {v.segments(d)}, m AS (SELECT coalesce(s.mode, 'unknown') AS mode, a.dt, a.implied, a.acc, a.us0, a.lat = a.lat0 AND a.lon = a.lon0 AS still FROM accel a LEFT JOIN segments s ON a.user_id = s.user_id AND {day} = s.day AND a.us BETWEEN s.start_us AND s.end_us WHERE a.us0 IS NOT NULL)
+        SELECT * FROM m"""
+
+
+_COUNTS = """count(*) AS intervals, count(CASE WHEN dt < 0 THEN 1 END) AS negative_time, count(CASE WHEN dt = 0 THEN 1 END) AS duplicate_time, count(CASE WHEN dt = 0 AND NOT still THEN 1 END) AS zero_time_movement,
+        count(CASE WHEN implied > 80 THEN 1 END) AS over_80, count(CASE WHEN implied > most THEN 1 END) AS over_limit, count(CASE WHEN abs(acc) > 8 THEN 1 END) AS accel_over_8, count(CASE WHEN implied > 100 THEN 1 END) AS teleports, round(max(implied), 3) AS max_mps, round(max(abs(acc)), 3) AS max_abs_accel"""
+_MOST = "CASE mode " + " ".join(f"WHEN '{m}' THEN {x}" for m, x in LIMITS.items()) + " END AS most"
+
+
+def physical_profile_by_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speeds and accelerations between fixes by mode, and how many break a rule; every mode has a row."""
+    rows = written(_sql(spark, sf_dir, _intervals).select("mode", "dt", "implied", "acc", "still"), "profile-intervals")
+    modes = spark.createDataFrame([(m,) for m in LIMITS], "mode string")
+    own = rows.selectExpr("*", _MOST).groupBy("mode").agg(*(F.expr(x) for x in _split(_COUNTS)))
+    mid = quantiles.percentiles(rows, "mode", "implied", {"median_mps": (0.5, True), "p95_mps": (0.95, True)})
+    out = modes.join(own, "mode", "left").na.fill(0, [c for c in own.columns if c not in ("mode", "max_mps", "max_abs_accel")]).join(mid, "mode", "left")
+    bad = F.col("negative_time") + F.col("duplicate_time") + F.col("teleports") + F.col("over_limit") + F.col("accel_over_8")
+    return out.withColumns({c: F.round(c, 3) for c in ("median_mps", "p95_mps")}).withColumn("status", F.when(bad == 0, "PASS").otherwise("FAIL"))
+
+
+def _split(columns: str) -> list[str]:
+    """The expressions of a list, cut at commas outside brackets."""
+    out, depth, at = [], 0, 0
+    for i, c in enumerate(columns):
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append(columns[at:i].strip())
+            at = i + 1
+    return [*out, columns[at:].strip()]
+
+
+def _profile_sql() -> str:
+    d = Dialect()
+    modes = ", ".join(f"('{m}')" for m in LIMITS)
+    return f"""WITH i AS ({_intervals(d)}), r AS (SELECT *, {_MOST} FROM i), p AS (SELECT mode, {_COUNTS}, round(quantile_cont(implied, 0.5), 3) AS median_mps, round(quantile_cont(implied, 0.95), 3) AS p95_mps FROM r GROUP BY mode)
+        SELECT x.mode, {', '.join(f'coalesce({c}, 0) AS {c}' for c in ('intervals', 'negative_time', 'duplicate_time', 'zero_time_movement', 'over_80', 'over_limit', 'accel_over_8', 'teleports'))}, max_mps, max_abs_accel, median_mps, p95_mps,
+        CASE WHEN coalesce(negative_time + duplicate_time + teleports + over_limit + accel_over_8, 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (VALUES {modes}) AS x(mode) LEFT JOIN p ON p.mode = x.mode"""
+
+
+def time_range_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _sql(spark, sf_dir, lambda d: f"SELECT event_type, {d.us('ts')} AS us, value FROM {d.t('events')}")
+    span = events.groupBy("event_type").agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"))
+    p95 = quantiles.percentiles(events, "event_type", "value", {"p95": (0.95, False)}).withColumn("p95", F.round("p95", 3))
+    return span.join(p95, "event_type", "left")
+
+
+def sample_short_mid_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two shortest, middle and longest trips by fixes."""
+    counts = _sql(spark, sf_dir, lambda d: f"SELECT user_id AS trip_id, count(*) AS points, '' AS category FROM {d.t('events')} GROUP BY user_id")
+    counts = written(counts, "sample-counts")
+    return reports.spread_samples(counts).join(counts, "trip_id").select(F.col("trip_id").alias("user_id"), F.col("points").alias("pts"), "kind")
+
+
+def subsequence_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each route's inner stops, as they are, reversed, and without every second one, are a run of its stops."""
+    rows = _sql(spark, sf_dir, lambda d: f"WITH {v.stops(d)} SELECT route, pos, stop FROM stops")
+    whole = rows.groupBy("route").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "stop"))), lambda x: x["stop"]).alias("a")).filter("size(a) >= 2")
+    inner = F.slice("a", 2, F.size("a") - 1)
+    asked = [("inner", inner), ("reversed", F.reverse(inner)), ("thinned", F.filter(inner, lambda _, i: i % 2 == 0))]
+    each = F.array(*(F.struct(F.lit(n).alias("kind"), x.alias("b")) for n, x in asked))
+    return whole.select("route", "a", F.explode(each).alias("x")).select("route", "x.kind", F.size("x.b").alias("stops"), arrays.has_run(F.col("a"), F.col("x.b")).alias("found"))
+
+
 def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.connected_components(_sql(spark, sf_dir, graph_edges))
 
@@ -348,18 +383,33 @@ def _near_sql(radius: float, k: int | None, cols: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(text) for name, text in SQL.items()} | {
+    "physical_profile_by_mode": physical_profile_by_mode,
+    "time_range_by_category": time_range_by_category,
+    "sample_short_mid_long": sample_short_mid_long,
+    "subsequence_membership": subsequence_membership,
     "connected_components": connected_components,
     "nearest_station": nearest_station,
     "knn_stations": knn_stations,
     "transfer_anchors_within_150m": transfer_anchors_within_150m,
     **audits.QUERIES,
     **drive.QUERIES,
+    **rules.QUERIES,
 }
 ORACLE_SQL: dict[str, str] = {name: text(Dialect()) for name, text in SQL.items()} | {
+    "physical_profile_by_mode": _profile_sql(),
+    "time_range_by_category": "SELECT event_type, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us, round(quantile_disc(value, 0.95), 3) AS p95 FROM events GROUP BY event_type",
+    "sample_short_mid_long": """WITH c AS (SELECT user_id, count(*) AS pts FROM events GROUP BY user_id), r AS (SELECT *, row_number() OVER (ORDER BY pts, user_id) AS rn, count(*) OVER () AS n FROM c)
+        SELECT user_id, pts, CASE WHEN rn <= 2 THEN 'short' WHEN rn BETWEEN n // 2 AND n // 2 + 1 THEN 'middle' ELSE 'long' END AS kind FROM r WHERE rn <= 2 OR rn > n - 2 OR rn BETWEEN n // 2 AND n // 2 + 1""",
+    "subsequence_membership": f"""WITH {v.stops(Dialect())}, w AS (SELECT route, count(*) AS n, string_agg(stop, ',' ORDER BY pos) AS a FROM stops GROUP BY route HAVING count(*) >= 2),
+        x AS (SELECT route, 'inner' AS kind, count(*) AS stops, string_agg(stop, ',' ORDER BY pos) AS b FROM stops WHERE pos >= 1 GROUP BY route
+              UNION ALL SELECT route, 'reversed', count(*), string_agg(stop, ',' ORDER BY pos DESC) FROM stops WHERE pos >= 1 GROUP BY route
+              UNION ALL SELECT route, 'thinned', count(*), string_agg(stop, ',' ORDER BY pos) FROM stops WHERE pos >= 1 AND pos % 2 = 1 GROUP BY route)
+        SELECT x.route, x.kind, CAST(x.stops AS INTEGER) AS stops, contains(',' || w.a || ',', ',' || x.b || ',') AS found FROM x JOIN w ON w.route = x.route""",
     "connected_components": f"""WITH RECURSIVE {v.edges(Dialect())}, adj AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges), reach AS (SELECT DISTINCT a AS node, a AS seen FROM adj UNION SELECT r.node, e.b FROM reach r JOIN adj e ON r.seen = e.a) SELECT node, min(seen) AS component FROM reach GROUP BY node""",
     "nearest_station": _near_sql(900.0, 1, "left_id AS id, right_id AS station, round(dist, 2) AS distance_m"),
     "knn_stations": _near_sql(1500.0, 5, "left_id AS id, rank, right_id AS station, round(dist, 2) AS distance_m"),
     "transfer_anchors_within_150m": _near_sql(150.0, None, "left_id AS stop, right_id AS station, round(dist, 2) AS distance_m"),
     **audits.ORACLE_SQL,
     **drive.ORACLE_SQL,
+    **rules.ORACLE_SQL,
 }
