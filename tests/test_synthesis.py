@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trajkit.operators import checks, folds, numbering, reports, spatial, synthesis
+from trajkit.operators import synthesis_first as first
 from trajkit.plans import drive
 
 
@@ -206,3 +207,43 @@ def test_timeline_events(spark):
     points = spark.createDataFrame(rows, "trip_id string, idx long, leg int, mode string, us long, lat double, lon double, speed double")
     got = sorted((r.start_us, r.end_us, r.event_type, r.lat) for r in synthesis.timeline_events(points).collect())
     assert got == [(0, 0, "dwell", 0.0), (20, 30, "dwell", 2.0), (50, 50, "dwell", 5.0)]
+
+
+def test_first_model(spark, sf):
+    cat = drive.catalog(spark, sf)
+    own = drive.trips(spark, sf).filter("number <= 30").select("number", "category").withColumn("hard_case", synthesis.hard_case(F.col("category"), F.col("number") % 20, 5, synthesis.HARD_CASES))
+    trips = first.seeded(own, 2026)
+    corridors = spark.createDataFrame([(k, f"c{k}", [(37.5 + 0.01 * k, 127.0), (37.5 + 0.01 * k, 127.01), (37.51 + 0.01 * k, 127.02)]) for k in range(3)], "no long, id string, places array<struct<lat:double,lon:double>>")
+    legs = first.plan(trips, cat, corridors, 2026)
+    kinds = {r.trip_id: r for r in trips.collect()}
+    modes = {}
+    for r in legs.orderBy("trip_id", "leg").collect():
+        modes.setdefault(r.trip_id, []).append(r.mode)
+    assert all(tuple(m) in first.PATTERNS if kinds[t].category == "multimodal" else m == [kinds[t].category] for t, m in modes.items()) and len(modes) == 31
+    rows = {}
+    for r in first.move(legs.repartition(3), trips, 2026).collect():
+        rows.setdefault(r.trip_id, []).append(r)
+    again = sorted(map(str, first.move(legs.repartition(5), trips, 2026).collect()))
+    assert again == sorted(str(r) for own in rows.values() for r in own)
+    for own in rows.values():
+        own.sort(key=lambda r: r.idx)
+        for a, b in zip(own, own[1:], strict=False):
+            low, high = first.RANGE[a.mode]
+            assert 0 <= a.speed <= high and (b.us - a.us == 5_000_000 or b.joint and b.us == a.us)
+            assert metres(a.lat, a.lon, b.lat, b.lon) <= max(a.speed * 5, 0.02) + 0.01
+    hours = {(r.start_us // 3_600_000_000) % 24 for r in kinds.values()}
+    assert all(any(low <= h < high for low, high, _ in first.HOURS.values()) for h in hours) and {r.noise for r in kinds.values()} <= {n for n, _ in first.NOISE}
+
+
+def test_zigzag_resampling_and_choices(spark):
+    import numpy as np
+
+    lat, lon = first.resampled(np.array([37.5, 37.5]), np.array([127.0, 127.01]), 30.0)
+    steps = [metres(*a, *b) for a, b in zip(zip(lat, lon, strict=True), list(zip(lat, lon, strict=True))[1:], strict=False)]
+    assert all(abs(s - 30) < 0.01 for s in steps[:-1]) and steps[-1] <= 30.01 and lon[-1] == 127.01
+    y, x = first.joined((37.0, 127.0), np.array([37.2, 37.3]), np.array([127.2, 127.3]))
+    assert np.allclose(y, [37.0, 37.1012, 37.0988, 37.2, 37.3]) and np.allclose(x, [127.0, 127.0988, 127.1012, 127.2, 127.3])
+    picked = spark.range(4000).select(numbering.weighted({"a": 1, "b": 3}, F.lit(1), "id").alias("k")).groupBy("k").count().collect()
+    assert abs({r.k: r["count"] for r in picked}["b"] - 3000) < 150
+    some = numbering.sampled(spark.range(100), 10, "id").collect()
+    assert len(some) == 10 and some == numbering.sampled(spark.range(100).repartition(7), 10, "id").collect()

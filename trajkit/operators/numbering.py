@@ -33,3 +33,17 @@ def draw(*parts: Column | str | int) -> Column:
 def normal(*parts: Column | str | int) -> Column:
     """A standard normal draw from two uniform ones."""
     return F.sqrt(-2 * F.log(draw(*parts, F.lit("a")))) * F.cos(2 * F.pi() * draw(*parts, F.lit("b")))
+
+
+def weighted(weights: dict[str, float], *parts: Column | str | int) -> Column:
+    """One of the names, by weight, drawn from the parts."""
+    u, total, at = draw(*parts), sum(weights.values()), 0.0
+    out = F.lit(list(weights)[-1])
+    for name, end in reversed([(n, (at := at + w) / total) for n, w in weights.items()]):
+        out = F.when(u < end, name).otherwise(out)
+    return out
+
+
+def sampled(rows: DataFrame, n: int, *keys: str, seed: int = 0) -> DataFrame:
+    """``n`` rows picked by a hash of their keys, the same on any partitioning."""
+    return rows.orderBy(draw(F.lit(seed), *keys), *keys).limit(n)

@@ -98,6 +98,12 @@ class Catalog:
         points = written(numbered(stops.select("id", "lat", "lon"), "id"), "synthesis-stops")
         return Catalog(points, lines, points.count(), {k: found.get(k, 0) for k in ("rail", "bus")})
 
+    def only(self, kind: str, *refs: str) -> Catalog:
+        """The catalog with these lines alone of a kind, numbered anew."""
+        own = numbered(self.lines.filter((F.col("kind") == kind) & F.col("ref").isin(*refs)).drop("no"), "ref")
+        lines = written(self.lines.filter(F.col("kind") != kind).unionByName(own), "synthesis-lines")
+        return Catalog(self.stops, lines, self.n_stops, self.n_lines | {kind: own.count()})
+
     def positions(self, kind: str) -> DataFrame:
         """``id, ref, place, name, lat, lon, n`` of the stops that a journey may change at: the third to the third but last."""
         own = self.lines.filter(F.col("kind") == kind).select("ref", "n", F.explode("stops").alias("s")).select("ref", "n", "s.*")

@@ -111,15 +111,16 @@ def weighted(d: Dialect) -> str:
 
 
 def asked(d: Dialect) -> str:
-    """From each node to the ends of two hops, by the node's smallest number."""
-    return f"WITH {v.edges(d)}, adj AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges) SELECT x.a AS src, max(y.b) AS dst FROM adj x JOIN adj y ON x.b = y.a WHERE x.a <> y.b GROUP BY x.a"
+    """From each node to the ends of two hops, by the end's largest number; ``most`` is the length of the shortest such two hops."""
+    return f"""WITH w AS ({weighted(d)}), adj AS (SELECT src AS a, dst AS b, length FROM w UNION SELECT dst, src, length FROM w), two AS (SELECT x.a AS src, y.b AS dst, x.length + y.length AS m FROM adj x JOIN adj y ON x.b = y.a WHERE x.a <> y.b),
+        far AS (SELECT src, max(dst) AS dst FROM two GROUP BY src) SELECT far.src, far.dst, min(two.m) AS most FROM far JOIN two ON two.src = far.src AND two.dst = far.dst GROUP BY far.src, far.dst"""
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     d = SparkSql(sf_dir)
     one = spark.sql(weighted(d))
     both = one.unionByName(one.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "length"))
-    return both, spark.sql(asked(d)).select(F.col("src").alias("query_id"), "src", "dst")
+    return both, spark.sql(asked(d)).select(F.col("src").alias("query_id"), "src", "dst", "most")
 
 
 def shortest_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +178,7 @@ def _runner(text: Callable[[Dialect], str]) -> Callable[[SparkSession, str], Dat
 
 _D = Dialect()
 _REACHED = f"""WITH RECURSIVE w AS ({weighted(_D)}), q AS ({asked(_D)}), adj AS (SELECT src AS a, dst AS b, length FROM w UNION SELECT dst, src, length FROM w),
-    r AS (SELECT src AS query_id, src AS node, CAST(0 AS BIGINT) AS d FROM q UNION SELECT r.query_id, adj.b, CAST(r.d + adj.length AS BIGINT) FROM r JOIN adj ON adj.a = r.node WHERE r.d + adj.length <= {REACH}),
+    r AS (SELECT src AS query_id, src AS node, CAST(0 AS BIGINT) AS d, most FROM q UNION SELECT r.query_id, adj.b, CAST(r.d + adj.length AS BIGINT), r.most FROM r JOIN adj ON adj.a = r.node WHERE r.d + adj.length <= r.most),
     s AS (SELECT q.src AS query_id, min(r.d) AS distance FROM q JOIN r ON r.query_id = q.src AND r.node = q.dst GROUP BY q.src)"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _runner(text) for name, text in SQL.items()} | {

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trajkit.functions.dialect import Dialect, SparkSql
 from trajkit.operators import arrays, graph, quantiles, reports, spatial
+from trajkit.operators.synthesis_first import HOURS
 from trajkit.plans import audits, drive, rules
 from trajkit.plans import views as v
 from trajkit.session import written
@@ -242,7 +243,10 @@ def journey_seeding(d):
 
 @query
 def time_band_factor(d):
-    return f"""WITH h AS (SELECT event_id, CAST(floor({d.us("ts")} / {d.f(3600e6)}) AS BIGINT) % 24 AS hr FROM {d.t("events")}) SELECT event_id, hr, round(CASE WHEN hr >= 7 AND hr < 10 THEN {d.f(0.7)} WHEN hr >= 17 AND hr < 20 THEN {d.f(0.65)} WHEN hr >= 22 OR hr < 5 THEN {d.f(1.15)} ELSE {d.f(1)} END * ({d.f(0.9)} + {d.f(0.2)} * {d.uniform("7", "event_id")}), 6) AS factor FROM h"""
+    """The pace of an hour: that of the first profile that has it, a tenth up or down; 1 outside all profiles."""
+    bands = " ".join(f"WHEN hr >= {low} AND hr < {high} THEN {d.f(x)}" for low, high, x in HOURS.values())
+    return f"""WITH h AS (SELECT event_id, CAST(floor({d.us("ts")} / {d.f(3600e6)}) AS BIGINT) % 24 AS hr FROM {d.t("events")}), b AS (SELECT *, CASE {bands} END AS band FROM h)
+        SELECT event_id, hr, round(coalesce(band * ({d.f(0.9)} + {d.f(0.2)} * {d.uniform("7", "event_id")}), 1), 6) AS factor FROM b"""
 
 
 @query
