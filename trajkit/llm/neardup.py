@@ -206,27 +206,19 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     return written(both.filter(linked).select("a", "b").distinct(), "neardup-links")
 
 
-class Buckets:
-    """The buckets (band, n) with two classes or more; those of many rows are dealt into parts of about ``BLOCK`` before they are joined."""
+def met_by_band(rows: DataFrame, values: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows (``band, rep, n``; n: rows of the bucket) with the values of their buckets (``band, n``), one row a band; large buckets are dealt into parts."""
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = rows.withColumn("parts", parts).withColumn("part", part_of("rep", "parts")).drop("parts")
+    each = values.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n")
+    return dealt.join(each, ["band", "part"], how).drop("part")
 
-    def __init__(self, banded: DataFrame):
-        found = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("band", "n")
-        self.found = written(found, "neardup-buckets")
-        parts = F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")
-        self.hot = sent_if_small(written(self.found.select("band", parts).filter("parts > 1"), "neardup-hotbands"))
 
-    def join(self, rows: DataFrame, values: DataFrame, how: str = "inner") -> DataFrame:
-        """Rows (``band, rep``) with the values of their buckets, one row a band."""
-        dealt = rows.join(self.hot, "band", "left").withColumn("part", F.coalesce(part_of("rep", "parts"), F.lit(0))).drop("parts")
-        each = values.join(self.hot, "band", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-        return dealt.join(each, ["band", "part"], how).drop("part")
-
-
-def centred(buckets: Buckets, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each row of ``band, rep, n`` (n: rows of its bucket) with its bucket's centre."""
+def centred(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each row of ``band, rep, n`` with its bucket's centre."""
     weight = members.groupBy("rep").agg(F.sum("n").alias("w"))
-    centre = members.join(weight, "rep").groupBy("band").agg(F.max(F.struct("w", (-F.col("rep")).alias("back"))).alias("c")).select("band", (-F.col("c.back")).alias("centre"))
-    both = buckets.join(members, centre).filter("rep <> centre")
+    centre = members.join(weight, "rep").groupBy("band").agg(F.max(F.struct("w", (-F.col("rep")).alias("back"))).alias("c"), F.max("n").alias("n")).select("band", "n", (-F.col("c.back")).alias("centre"))
+    both = met_by_band(members, centre).filter("rep <> centre")
     return both.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
@@ -374,17 +366,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     least = percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / MINIMA) - 2.0 ** (1 - BITS) / 10
 
     banded = reps.select("rep", F.explode("bands").alias("band"))
-    buckets = Buckets(banded)
-    members = written(buckets.join(banded, buckets.found), "neardup-members")
-    near = likely(centred(buckets, members), reps, least)
+    shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("band", "n")
+    members = written(banded.join(shared, "band"), "neardup-members")
+    near = likely(centred(members), reps, least)
     links = confirmed(docs, near, width, percent)
     comps = connected_components(links, "a", "b")
 
     # classes of the buckets that the first links left in several components
     comp = F.coalesce("component", "rep").alias("comp")
-    placed = written(members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", comp), "neardup-placed")
-    split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    waiting = written(buckets.join(placed, split, "left_semi").select("rep", "comp").distinct(), "neardup-open")
+    placed = written(members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "n", comp), "neardup-placed")
+    split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("n").alias("n")).filter("lo <> hi").select("band", "n")
+    waiting = written(met_by_band(placed, split, "left_semi").select("rep", "comp").distinct(), "neardup-open")
     if not waiting.isEmpty():
         sets = full_sets(docs, waiting.select(F.col("rep").alias("doc_id")), width).withColumnRenamed("doc_id", "rep")
         sets = written(sets.join(waiting, "rep").select("rep", "comp", "set"), "neardup-opensets")
