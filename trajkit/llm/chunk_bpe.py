@@ -56,6 +56,14 @@ def whole_characters(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return at
 
 
+def marked(n: int, *places: np.ndarray) -> np.ndarray:
+    """The places below n, each once, in order."""
+    there = np.zeros(n, bool)
+    for p in places:
+        there[p[p < n]] = True
+    return np.flatnonzero(there)
+
+
 class ChunkEncoder:
     """Ids of whole texts; chunks seen before are not encoded again."""
 
@@ -85,9 +93,8 @@ class ChunkEncoder:
             return np.zeros(0, np.uint16), np.zeros(len(offsets), np.int64)
         self.store.trim()
         self.joins.trim()
-        docs = np.unique(offsets[offsets < n])
-        starts = np.union1d(whole_characters(data, chunk_starts(data, self.bits)), docs)
-        starts = starts[starts < n]
+        docs = marked(n, offsets)
+        starts = marked(n, offsets, whole_characters(data, chunk_starts(data, self.bits)))
         parts = segments(data, starts)
         keys, codes = key_list(parts), parts.indices.to_numpy()
         new = [k for k in keys if k not in self.store.slot]
@@ -97,7 +104,7 @@ class ChunkEncoder:
             self.store.add(new, *self._fresh(new))
         ids, _ = self.store.expand(np.fromiter(map(self.store.slot.__getitem__, keys), np.int64, len(keys))[codes])
         place = np.cumsum(self.lens[ids]) - self.lens[ids]
-        inner = np.setdiff1d(starts, docs, assume_unique=True)
+        inner = starts[~np.isin(starts, docs, assume_unique=True)]
         if len(inner):
             ids, place = self._repaired(data, docs, inner, ids, place)
         return ids, np.searchsorted(place, offsets)
@@ -105,7 +112,7 @@ class ChunkEncoder:
     def _repaired(self, data: np.ndarray, docs: np.ndarray, inner: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The chunks' ids and places with those around the joins at ``inner`` replaced."""
         n, raw = len(data), data.tobytes()
-        cuts = np.unique(np.concatenate([docs, safe_cuts(data), [n]]))
+        cuts = marked(n + 1, docs, safe_cuts(data), np.array([n]))
         doc = np.searchsorted(docs, inner, "right") - 1
         at_doc = np.searchsorted(cuts, np.append(docs, n))
         first, last = at_doc[doc], at_doc[doc + 1]  # the text's ends, as numbers of cuts like all that follows
