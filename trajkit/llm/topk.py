@@ -14,7 +14,7 @@ vectors: where all distances are alike (random directions in many dimensions) ev
 Layout: rows are dealt by a hash of their id into shards, so a vector that a third of all rows
 share is spread evenly; inside a shard rows are sorted by pivot and distance and packed into blocks
 of binary columns, written once to the shared folder.  Pivots are fitted on at most ``SAMPLE``
-rows; every row is indexed.  Queries are read in rounds of about ``ROUND_ROWS`` and sent to all
+rows (fewer where these would pass ``ROUND_BYTES``); every row is indexed.  Queries are read in rounds of about ``ROUND_ROWS`` and sent to all
 executors, checked against ``ROUND_BYTES``; each index task returns at most k rows a query, and each
 round's result is written before the next one begins.
 
@@ -285,7 +285,7 @@ def _search_length(base: DataFrame, asked: DataFrame, dim: int, k: int, n_pivots
         return
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     big, low, high = base.select(F.max(norm), F.min(F.array_min("vec")), F.max(F.array_max("vec"))).first()
-    rows = base.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE).toArrow()
+    rows = base.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(min(SAMPLE, max(k + 1, ROUND_BYTES // (dim * 8)))).toArrow()
     sample = matrix(rows.column("vec").combine_chunks(), dim)
     pivots, seed = fit_pivots(sample, n_pivots), Seed(rows.column("vec_id").to_numpy(), sample, k)
     big = max(big, float((pivots**2).sum(1).max()))
