@@ -38,7 +38,7 @@ def test_lengths_are_searched_apart(spark):
 
 def test_large_components_and_rounds(spark, monkeypatch):
     monkeypatch.setattr(topk, "ROUND_ROWS", 2)
-    rows = [(0, [1.0, 1.0]), (1, [3e6, 1.0]), (2, [1.0, 2.0]), (3, [-3e6, 5.0]), (4, [0.0, 0.0])]
+    rows = [(0, [1.0, 1.0]), (1, [2.5e6, 1.0]), (2, [1.0, 2.0]), (3, [-2.5e6, 5.0]), (4, [0.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     ints = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
     assert {tuple(r) for r in topk.search(df, df, k=3).collect()} == brute([(i, np.array(v, object)) for i, v in ints], [(i, np.array(v, object)) for i, v in ints], 3)
