@@ -158,3 +158,31 @@ def test_a_tie_between_segments_goes_to_the_first(spark, tables):
     # the probe of fix 0, at 23 h, is an hour after it and an hour before fix 1
     folder = tables(events=events([(1, 0, 22 * 3600), (1, 1, 24 * 3600)]))
     assert {(e, k) for e, k, _ in result(spark, folder, "mode_at_interval")} == {(0, 0), (1, 1)}
+
+
+def test_nearest_rows_are_sought_from_a_small_radius_and_equal_brute_force(spark, monkeypatch):
+    import random
+
+    from trajkit.operators import spatial
+
+    rnd = random.Random(5)
+    a = [(i, 37 + rnd.random() / 100, 127 + rnd.random() / 100) for i in range(300)] + [(300, 37.06, 127.06)]
+    b = [(i, 37 + rnd.random() / 100, 127 + rnd.random() / 100) for i in range(800)] + [(800 + i, 37.005, 127.005) for i in range(20)]
+    radii, real = [], spatial.within
+    monkeypatch.setattr(spatial, "within", lambda left, right, radius, k=None, **more: radii.append(radius) or real(left, right, radius, k, **more))
+    frame = lambda rows: spark.createDataFrame(rows, "id long, lat double, lon double")
+    got = sorted((r.left_id, r["rank"], r.right_id) for r in spatial.within(frame(a), frame(b), 20_000.0, k=3).collect())
+    pairs = frame(a).crossJoin(frame(b).toDF("right_id", "rlat", "rlon")).select("id", "right_id", spatial.haversine(*(spatial.F.col(c) for c in ("lat", "lon", "rlat", "rlon"))).alias("d")).collect()
+    near = {}
+    for r in sorted(pairs, key=lambda r: (r.id, r.d, r.right_id)):
+        near.setdefault(r.id, []).append(r.right_id)
+    assert got == sorted((i, n + 1, x) for i, own in near.items() for n, x in enumerate(own[:3]))
+    assert radii[1] < 2000 and len(radii) > 3  # the first is the call itself
+
+
+def test_pairs_carry_columns_of_both_sides(spark):
+    from trajkit.operators import spatial
+
+    rows = spark.createDataFrame([(1, 37.0, 127.0, "a"), (2, 37.0005, 127.0, "b"), (3, 38.0, 127.0, None)], "id long, lat double, lon double, line string")
+    got = {(r.left_id, r.right_id, r.left_line, r.right_line) for r in spatial.within(rows, rows, 120.0, carry=("line",)).collect()}
+    assert got == {(1, 1, "a", "a"), (2, 2, "b", "b"), (1, 2, "a", "b"), (2, 1, "b", "a"), (3, 3, None, None)}
