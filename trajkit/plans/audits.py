@@ -146,11 +146,9 @@ def v_edges(sf_dir: str) -> str:
 
 def route_pair_anchors_120m(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = SparkSql(sf_dir)
-    stops = spark.sql(f"WITH {v.places(d, 'customer', 'c_custkey', 'p')} SELECT * FROM p")
-    line = spark.sql(f"SELECT c_custkey AS id, c_nationkey AS line FROM {d.t('customer')}")
-    pairs = spatial.within(stops, stops, 120.0).filter("left_id <> right_id")
-    pairs = pairs.join(line.select(F.col("id").alias("left_id"), F.col("line").alias("a")), "left_id").join(line.select(F.col("id").alias("right_id"), F.col("line").alias("b")), "right_id")
-    return pairs.filter("a <> b").selectExpr("left_id AS stop_a", "right_id AS stop_b", "round(dist, 2) AS distance_m")
+    stops = spark.sql(f"WITH {v.places(d, 'customer', 'c_custkey', 'p')} SELECT p.*, c.c_nationkey AS line FROM p JOIN {d.t('customer')} c ON c.c_custkey = p.id")
+    pairs = spatial.within(stops, stops, 120.0, carry=("line",))
+    return pairs.filter("left_id <> right_id AND left_line <> right_line").selectExpr("left_id AS stop_a", "right_id AS stop_b", "round(dist, 2) AS distance_m")
 
 
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
