@@ -186,3 +186,45 @@ def test_pairs_carry_columns_of_both_sides(spark):
     rows = spark.createDataFrame([(1, 37.0, 127.0, "a"), (2, 37.0005, 127.0, "b"), (3, 38.0, 127.0, None)], "id long, lat double, lon double, line string")
     got = {(r.left_id, r.right_id, r.left_line, r.right_line) for r in spatial.within(rows, rows, 120.0, carry=("line",)).collect()}
     assert got == {(1, 1, "a", "a"), (2, 2, "b", "b"), (1, 2, "a", "b"), (2, 1, "b", "a"), (3, 3, None, None)}
+
+
+def test_distances_to_lines_equal_the_search_by_cells(spark, monkeypatch):
+    import random
+
+    from trajkit.operators import spatial
+
+    F, rnd = spatial.F, random.Random(3)
+    place = lambda: (37 + rnd.random() / 20, 127 + rnd.random() / 20)
+    lines = spark.createDataFrame([(f"t{i}", 1, [place() for _ in range(n)]) for i, n in enumerate((2, 5, 19, 1, 0))], "trip_id string, leg int, line array<struct<lat:double,lon:double>>")
+    points = spark.createDataFrame([(f"t{i % 6}", 1, i, *place()) for i in range(600)], "trip_id string, leg int, idx long, lat double, lon double")
+    want = spatial.nearest_segment(points.select(F.col("idx").alias("id"), "trip_id", "leg", "lat", "lon"), spatial.pieces(lines, "trip_id", "leg"), "trip_id", "leg")
+    want = {r.id: r.dist for r in want.collect()}
+    for most in (65, 4):  # with lines of more than four places by cells
+        monkeypatch.setattr(spatial, "PLACES", most)
+        got = {r.idx: r.dist for r in spatial.line_distances(points, lines, "trip_id", "leg", id="idx").collect()}
+        assert len(got) == 500 and {k for k, d in got.items() if d is not None} == set(want)  # t3 and t4 have no piece, t5 no line
+        assert all(abs(got[k] - d) < 1e-6 for k, d in want.items())
+
+
+def test_only_what_is_asked_for_is_generated_and_motion_is_dealt_out(spark, monkeypatch):
+    from trajkit.operators import synthesis
+
+    stops = [{"lat": 37.0, "lon": 127.0}, {"lat": 37.01, "lon": 127.0}]
+    legs = spark.createDataFrame([(f"t{i}", 1, "walk", "r", stops, [], [0.0, 1111.9]) for i in range(9)], "trip_id string, leg int, mode string, ref string, stops array<struct<lat:double,lon:double>>, names array<string>, offsets array<double>")
+    trips = spark.createDataFrame([(i, f"t{i}", "d", "walk", "clean", 1_000_000) for i in range(9)], "number long, trip_id string, device_id string, category string, noise string, start_us long")
+    monkeypatch.setattr(synthesis, "TASK_LEGS", 2)
+    names, real = [], synthesis.written
+    monkeypatch.setattr(synthesis, "written", lambda df, name: names.append(name) or real(df, name))
+    data = synthesis.Dataset(trips, legs, 5)
+    assert data.points_once().rdd.getNumPartitions() == 5 and not names
+    few = sorted(map(str, data.only(["t3"]).fixes.collect()))
+    assert few and few == sorted(map(str, data.fixes.filter("trip_id = 't3'").collect())) and names == ["synthesis-fixes"] * 2
+    assert data.segments.filter("geometry_status = 'PASS' AND max_error_m < 0.01 AND p95_error_m <= max_error_m").count() == 9
+
+
+def test_copies_are_found_whole(spark):
+    from trajkit.operators import checks
+
+    rows = [("a", 0, 1, 1.0), ("a", 1, 2, 2.0), ("b", 0, 1, 1.0), ("b", 1, 2, 2.0), ("c", 0, 1, 2.0), ("c", 1, 2, 1.0), ("d", 0, 1, 9.0)]
+    fixes = spark.createDataFrame(rows, "trip_id string, sequence int, s int, latitude double").selectExpr("*", "timestamp_seconds(s) AS timestamp", "0D AS longitude")
+    assert [r["count"] for r in checks.copies(fixes).collect()] == [2]  # c has the same places in another order
