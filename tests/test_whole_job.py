@@ -228,3 +228,17 @@ def test_copies_are_found_whole(spark):
     rows = [("a", 0, 1, 1.0), ("a", 1, 2, 2.0), ("b", 0, 1, 1.0), ("b", 1, 2, 2.0), ("c", 0, 1, 2.0), ("c", 1, 2, 1.0), ("d", 0, 1, 9.0)]
     fixes = spark.createDataFrame(rows, "trip_id string, sequence int, s int, latitude double").selectExpr("*", "timestamp_seconds(s) AS timestamp", "0D AS longitude")
     assert [r["count"] for r in checks.copies(fixes).collect()] == [2]  # c has the same places in another order
+
+
+def test_segments_of_long_lines_are_found_without_a_look_at_each_pair_of_stops(spark):
+    import time
+
+    from trajkit.operators import checks
+
+    F = checks.F
+    lines = spark.sql("SELECT 'bus' AS kind, 'b' AS ref, 3000 AS n, transform(sequence(1, 3000), i -> named_struct('place', i, 'name', concat('n', i % 1000), 'lat', 37D, 'lon', 127D)) AS stops")
+    own = spark.sql("SELECT concat('t', id) AS trip_id, 1 AS leg, 'bus' AS mode, 'b' AS line, transform(sequence(id, id + 4), i -> concat('n', i)) AS sequence, 'x' AS geometry_hash FROM range(1, 201)")
+    p, began = checks.Package(None, None, own, None, lines), time.time()
+    found = checks.reference_checks(p).groupBy("name").agg(F.count_if(F.col("status") == "PASS")).collect()
+    assert dict(map(tuple, found)) == {"external_sequence": 200, "geometry_reconstruction": 0}
+    assert time.time() - began < 30
