@@ -84,6 +84,32 @@ def test_graph_queries_take_every_stop_and_only_adjacent_ones(spark, tables):
     assert set(result(spark, folder, "shortest_routes")) == {(a, "OK", d) for a, d in want}
 
 
+def shuffled(spark, work):
+    """Rows that ``work`` put through exchanges."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    no = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(None, False, False, no, None))}
+    before = set(stages())
+    got = work()
+    return got, sum(n for s, n in stages().items() if s not in before)
+
+
+def star(leaves):
+    """Stops 1, 2, ... that all meet stop 0 only, so any two of them are two hops apart."""
+    length = {n: 1 + n % 9 for n in range(1, leaves + 1)}
+    want = {(n, length[n] + length[leaves if n < leaves else leaves - 1]) for n in length}
+    return lineitem([(n, stop, 1, i, 1) for n in length for i, stop in enumerate((0, n))]), want
+
+
+def test_routes_make_no_pairs_of_the_hops_of_a_stop(spark, tables):
+    leaves = 600
+    rows, want = star(leaves)
+    folder = tables(lineitem=rows)
+    got, moved = shuffled(spark, lambda: result(spark, folder, "shortest_routes"))
+    assert set(got) == {(a, "OK", d) for a, d in want} and len(got) == leaves
+    assert moved < 60 * leaves
+
+
 def test_mode_sequences_take_all_segments(spark, tables):
     days = {1: range(6), 2: range(6), 3: [0, 1, 2, 3, 5]}
     folder = tables(events=events([(u, 10 * u + k, 86400 * k) for u, own in days.items() for k in own]))
