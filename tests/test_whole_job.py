@@ -8,7 +8,7 @@ import random
 import duckdb
 import pytest
 
-from trajkit.operators import synthesis
+from trajkit.operators import routing, synthesis
 from trajkit.plans import catalogue
 
 DAY = 86_400_000_000
@@ -110,6 +110,38 @@ def test_routes_make_no_pairs_of_the_hops_of_a_stop(spark, tables):
     assert moved < 60 * leaves
 
 
+def test_distances_hold_no_label_for_every_stop_within_reach(spark, tables):
+    leaves = 600
+    rows, want = star(leaves)
+    folder = tables(lineitem=rows)
+    got, moved = shuffled(spark, lambda: result(spark, folder, "shortest_distances"))
+    assert set(got) == want and len(got) == leaves
+    assert moved < 60 * leaves
+
+
+def test_distances_in_tasks_equal_those_by_joins(spark, monkeypatch):
+    rnd = random.Random(14)
+    links = [(base + rnd.randrange(30), base + rnd.randrange(30), float(rnd.randint(0, 9))) for base in (0, 100) for _ in range(90 + base)]
+    asked = [(i, rnd.choice((0, 100)) + rnd.randrange(32), rnd.choice((0, 100)) + rnd.randrange(32)) for i in range(300)] + [(300, 999, 999)]
+    edges, queries = spark.createDataFrame(links, "src long, dst long, length double"), spark.createDataFrame(asked, "query_id long, src long, dst long")
+    out = {}
+    for a, b, n in links:
+        out.setdefault(a, {})[b] = min(n, out.get(a, {}).get(b, n))
+    for node in {n for a, b, _ in links for n in (a, b)}:
+        out.setdefault(node, {})
+    want = {(i, d) for i, a, b in asked if (d := 0 if a == b else shortest_or_none(out, a, b)) is not None and d <= 14}
+    for most in (2_000_000, 120, 0):
+        monkeypatch.setattr(routing, "IN_TASK", most)
+        assert {tuple(r) for r in routing.distances(edges, queries, 14.0).collect()} == want
+
+
+def shortest_or_none(links, src, dst):
+    try:
+        return shortest(links, src, dst)
+    except KeyError:
+        return None
+
+
 def test_mode_sequences_take_all_segments(spark, tables):
     days = {1: range(6), 2: range(6), 3: [0, 1, 2, 3, 5]}
     folder = tables(events=events([(u, 10 * u + k, 86400 * k) for u, own in days.items() for k in own]))
@@ -233,7 +265,7 @@ def test_distances_to_lines_equal_the_search_by_cells(spark, monkeypatch):
 
 
 def test_only_what_is_asked_for_is_generated_and_motion_is_dealt_out(spark, monkeypatch):
-    from trajkit.operators import synthesis
+    from trajkit.operators import routing, synthesis
 
     stops = [{"lat": 37.0, "lon": 127.0}, {"lat": 37.01, "lon": 127.0}]
     legs = spark.createDataFrame([(f"t{i}", 1, "walk", "r", stops, [], [0.0, 1111.9]) for i in range(9)], "trip_id string, leg int, mode string, ref string, stops array<struct<lat:double,lon:double>>, names array<string>, offsets array<double>")
