@@ -300,3 +300,14 @@ def test_segments_of_long_lines_are_found_without_a_look_at_each_pair_of_stops(s
     found = checks.reference_checks(p).groupBy("name").agg(F.count_if(F.col("status") == "PASS")).collect()
     assert dict(map(tuple, found)) == {"external_sequence": 200, "geometry_reconstruction": 0}
     assert time.time() - began < 30
+
+
+def test_every_route_is_found_beyond_the_limit_of_the_searchs_contract(spark, tables, monkeypatch):
+    monkeypatch.setattr(routing, "EXPANSIONS", 3)
+    monkeypatch.setattr(routing.routes, "__defaults__", tuple(3 if x == 150_000 else x for x in routing.routes.__defaults__))
+    rows, want = star(30)
+    assert set(result(spark, tables(lineitem=rows), "shortest_routes")) == {(a, "OK", d) for a, d in want}
+    frame = lambda rows, kind: spark.createDataFrame(rows, kind)
+    edges = frame([(0, i, i + 1, i, 1.0, 1.0, None, None, None, None) for i in range(9)], "region long, src long, dst long, way long, length_m double, speed double, src_lat double, src_lon double, dst_lat double, dst_lon double")
+    queries = frame([(1, 0, 0, 9)], "query_id long, region long, src long, dst long")
+    assert routing.routes(edges, queries).first().status == "LIMIT" and routing.routes(edges, queries, limit=math.inf).first().distance == 9.0
